@@ -77,7 +77,7 @@ def scd2_apply(
     kept = F.struct(
         *(F.col(f"old.{c}").alias(c) for c in columns),
         F.col("old.version_id").alias("version_id"),
-        F.when(changed, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
+        F.col("old.updated_at").alias("updated_at"),
         F.col("old.valid_from").alias("valid_from"),
         F.when(changed, now).alias("valid_to"),
     )
@@ -113,7 +113,7 @@ def scd2_history(
     return versions.select(
         *columns,
         _version_id(F.col(key), since).alias("version_id"),
-        F.coalesce(ends, since).alias("updated_at"),
+        since.alias("updated_at"),
         since.alias("valid_from"),
         ends.alias("valid_to"),
     )

@@ -21,7 +21,7 @@ from ledgerwatch.operators.snapshots import (
 from ledgerwatch.operators.staging import stage_customers, stage_payments
 from ledgerwatch.plans import declared
 from ledgerwatch.schemas import CrossBorderRule
-from ledgerwatch.sources.bronze import extract_to_bronze, load_settlements
+from ledgerwatch.sources.bronze import extract_to_bronze, settlements_to_bronze
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.workspace import stage
 
@@ -65,7 +65,9 @@ def update_customer_history(lake: Lake, raw_customers: DataFrame, key: str, run_
     if before is None:
         before = empty_history(source)
     after = stage(scd2_apply(before, source, CUSTOMER_KEY, CUSTOMER_CHECKS, run_ts), "history")
-    lake.write(after.filter(F.col("valid_to").isNotNull()), "gold", CLOSED_VERSIONS, run_ts)
+    ended = after.filter(F.col("valid_to").isNotNull())
+    if not ended.isEmpty():
+        lake.write(ended, "gold", CLOSED_VERSIONS, run_ts)
     lake.write(after.filter(F.col("valid_to").isNull()), "gold", OPEN_VERSIONS, run_ts)
 
 
@@ -90,13 +92,9 @@ def run_batch(
     same ``run_ts`` again gives the same tables, and unchanged customers add no
     versions.
     """
-    spark = lake.spark
-    settled = load_settlements(
-        spark, sources.settlement_folder, run_ts, sources.settlement_mode
+    settlements = settlements_to_bronze(
+        lake, sources.settlement_folder, run_ts, sources.settlement_mode
     )
-    if not settled.isEmpty() or lake.read("bronze", "raw_settlements") is None:
-        lake.write(settled, "bronze", "raw_settlements", run_ts)
-    settlements = lake.read("bronze", "raw_settlements")
     customers = extract_to_bronze(sources.customers, lake, "raw_customers", run_ts)
     transactions = extract_to_bronze(sources.transactions, lake, "raw_transactions", run_ts)
 

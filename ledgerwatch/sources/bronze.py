@@ -95,3 +95,19 @@ def load_settlements(
     else:
         raise ValueError(f"unknown mode {mode}")
     return chosen.select(*TRANSACTION_COLUMNS).withColumn("loaded_at", timestamp_ntz(run_ts))
+
+
+def settlements_to_bronze(
+    lake: Lake, folder: str, run_ts: datetime, mode: str = "merge_latest"
+) -> DataFrame:
+    """Load the settlement files as the new bronze version.
+
+    Without any settlement row the previous version stays in force, and the very
+    first load writes an empty table.
+    """
+    nothing_new = read_settlement_files(lake.spark, folder).isEmpty()
+    previous = lake.read("bronze", "raw_settlements") if nothing_new else None
+    if previous is not None:
+        return previous
+    rows = load_settlements(lake.spark, folder, run_ts, mode)
+    return lake.write(rows, "bronze", "raw_settlements", run_ts)

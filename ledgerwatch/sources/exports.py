@@ -11,15 +11,17 @@ def export_customers_csv(customers: DataFrame, path: str) -> None:
     """UTF-8 CSV with a header. One file per partition, never gathered in one task."""
     customers.select(*CUSTOMER_COLUMNS).write.mode("overwrite").option("header", "true").option(
         "encoding", "UTF-8"
-    ).csv(path)
+    ).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
 
 
 def export_settlements(settlements: DataFrame, folder: str) -> None:
     """Settlement files as ``file_date=<date>`` partitions.
 
     Exporting a date again replaces that date and leaves the others. The rows of a
-    date may come from many tasks, so a large day becomes several files.
+    date are brought together, and the rebalance splits a day that is too large for
+    one task into several files.
     """
-    settlements.select(*TRANSACTION_COLUMNS, "file_date").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("file_date").parquet(folder)
+    rows = settlements.select(*TRANSACTION_COLUMNS, "file_date").hint("rebalance", "file_date")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "file_date"
+    ).parquet(folder)

@@ -163,3 +163,109 @@ def audited(df: DataFrame, column: str = "ingested_at") -> DataFrame:
     return df.withColumn(column, timestamp_ntz(RUN_TS))
 
 
+
+
+def settlement_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of daily settlement files: a payment shows up one to three days later,
+    in most of the three files, and with another amount each time for some."""
+    pending = ev(spark, sf_dir).filter(F.col("event_id") % 47 != 0)
+    copies = pending.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).filter(
+        (F.col("event_id") + F.col("k")) % 4 != 0
+    )
+    shifted = F.when(F.col("event_id") % 20 == 1, F.col("cents") + F.col("k")).otherwise(
+        F.col("cents")
+    )
+    rows = as_transactions(copies.withColumn("cents", shifted))
+    return rows.withColumns(
+        {
+            "status": F.lit("SETTLED"),
+            "file_date": F.date_add(F.col("executed_at").cast("date"), F.col("k")),
+        }
+    ).select(*TRANSACTION_COLUMNS, "file_date")
+
+
+def customer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six snapshots of the customers, two weeks apart: tiers change, cities come and
+    go, some customers are missing at times, and countries change without a version."""
+    number = F.substring("customer_id", 2, 9).cast("bigint")
+    run = F.col("run")
+    rows = raw_customers(spark, sf_dir).withColumn(
+        "run", F.explode(F.sequence(F.lit(0), F.lit(5)))
+    )
+    return (
+        rows.filter((number + run * 3) % 9 != 0)
+        .withColumns(
+            {
+                "risk_tier": F.when((number + run) % 5 == 0, "HIGH").otherwise(F.col("risk_tier")),
+                "city": F.when((number * 7 + run) % 11 != 0, F.col("city")),
+                "country": F.when((number + run) % 4 == 0, "BE").otherwise(F.col("country")),
+                "run_ts": F.lit("2024-01-05").cast("timestamp_ntz")
+                + F.make_dt_interval(days=run * 14),
+            }
+        )
+        .select("run_ts", "customer_id", "address", "city", "country", "risk_tier", "created_at")
+    )
+
+
+def dirty_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged payments with faults of every kind planted in them."""
+    number = F.col("event_id")
+    hashed = F.sha2(F.concat(F.lit(KEY), F.col("sender_iban")), 256)
+    amount = (F.col("cents").cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+    return as_transactions(ev(spark, sf_dir)).select(
+        "event_id",
+        F.when(number % 41 == 0, F.lit(None).cast("string"))
+        .when(number % 37 == 1, F.concat(F.lit("T"), padded(number - 1, 10)))
+        .otherwise(F.col("transaction_id"))
+        .alias("transaction_id"),
+        F.when(number % 43 == 0, F.left(hashed, F.lit(60)))
+        .when(number % 53 != 0, hashed)
+        .alias("sender_iban_hmac"),
+        F.when(number % 59 == 0, -amount - 1).when(number % 61 != 0, amount).alias("amount_eur"),
+        F.when(number % 67 == 0, "LOST").when(number % 71 != 0, F.col("status")).alias("status"),
+    )
+
+
+def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source customers that break keys, NOT NULL rules and length limits."""
+    number = F.substring("customer_id", 2, 9).cast("bigint")
+    return raw_customers(spark, sf_dir).select(
+        F.when(number % 17 == 3, F.concat(F.lit("C"), padded(number - 3, 9)))
+        .otherwise(F.col("customer_id"))
+        .alias("customer_id"),
+        F.when(number % 19 != 0, F.col("first_name")).alias("first_name"),
+        F.when(number % 23 == 0, F.repeat(F.col("last_name"), 30))
+        .otherwise(F.col("last_name"))
+        .alias("last_name"),
+        "email",
+        "phone_number",
+        F.when(number % 29 == 0, F.lit("FR00")).otherwise(F.col("iban")).alias("iban"),
+        "address",
+        "city",
+        F.when(number % 31 == 0, "FRANCE").otherwise(F.col("country")).alias("country"),
+        F.when(number % 37 != 0, F.col("risk_tier")).alias("risk_tier"),
+        F.when(number % 41 != 0, F.col("created_at")).alias("created_at"),
+    )
+
+
+def event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed as JSON text, with faulty events among the good ones."""
+    number = F.col("event_id")
+    rows = as_transactions(ev(spark, sf_dir))
+    body = F.to_json(
+        F.struct(
+            "transaction_id",
+            F.when(number % 19 != 0, F.col("sender_iban")).alias("sender_iban"),
+            "beneficiary_iban",
+            "amount",
+            "currency",
+            F.when(number % 17 == 0, "CHEQUE")
+            .otherwise(F.col("payment_channel"))
+            .alias("payment_channel"),
+            F.when(number % 29 == 0, "LOST").when(number % 3 != 0, F.col("status")).alias("status"),
+            F.when(number % 23 == 0, "not-a-time")
+            .otherwise(F.col("executed_at").cast("string"))
+            .alias("executed_at"),
+        )
+    )
+    return rows.select(F.when(number % 97 == 5, "{oops").otherwise(body).alias("value"))
