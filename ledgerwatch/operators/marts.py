@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import minutes, timestamp_ntz
 from ledgerwatch.operators.sliding import HOT_ROWS, sliding_totals
 from ledgerwatch.schemas import ROLLING_AMOUNT, CrossBorderRule
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import stage_counted
 
 FACT_COLUMNS = (
     "transaction_id",
@@ -83,9 +83,9 @@ def rolling_cross_border(
     if merge_copies:
         rows = rows.groupBy(*ALERT_GRAIN).agg(F.count(F.lit(1)).alias("_copies"))
         amount = amount * F.col("_copies")
-    rows = stage(rows, "cross-border")
+    table, n_rows = stage_counted(rows, "cross-border")
     totals = sliding_totals(
-        rows,
+        table,
         key="sender_iban_hmac",
         at="executed_at",
         measures={
@@ -96,6 +96,7 @@ def rolling_cross_border(
         leaves_after=timedelta(days=rule.days, microseconds=1),
         slot=minutes,
         hot_rows=hot_rows,
+        rows=n_rows,
     )
     total = F.when(F.col("_known") > 0, F.col("_total"))
     if merge_copies:

@@ -52,18 +52,23 @@ def sliding_totals(
     slot: Callable[[Column], Column],
     tie_break: str | None = None,
     hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add one column per measure: its total over the trailing window at each row.
 
     A row counts from its own time until ``leaves_after`` later, when it no longer
     counts. Rows with equal times see each other, or only their predecessors by
     ``tie_break`` if that is given. ``key`` and ``at`` must not be NULL, measures
-    must not be NULL either. ``df`` is read several times and should be a table.
+    must not be NULL either. ``df`` is read several times and should be a table. If
+    its number of ``rows`` is known to be below ``hot_rows``, no key can be hot and
+    the plain window does it all.
     """
+    columns = [*df.columns, *measures]
+    if rows is not None and rows < hot_rows:
+        return _by_key(df, key, at, measures, leaves_after, tie_break).select(*columns)
     hot = F.broadcast(hot_keys(df, key, hot_rows))
     few = df.join(hot, key, "left_anti")
     many = df.join(hot, key, "left_semi")
-    columns = [*df.columns, *measures]
     plain = _by_key(few, key, at, measures, leaves_after, tie_break)
     sliced = _by_slot(many, key, at, measures, leaves_after, slot, tie_break)
     return plain.select(*columns).unionByName(sliced.select(*columns))

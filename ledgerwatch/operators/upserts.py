@@ -11,23 +11,21 @@ from pyspark.sql import functions as F
 from ledgerwatch.workspace import stage
 
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One whole row per key: the first by ``order``.
+def _extreme_per_key(df, key, order, extreme) -> DataFrame:
+    # An aggregate, not a window: copies of a hot key are reduced before the shuffle.
+    rank = F.struct(*order, *(name for name in df.columns if name not in order))
+    best = df.groupBy(*key).agg(extreme(rank).alias("_best"))
+    return best.select(*(F.col(f"_best.{name}").alias(name) for name in df.columns))
 
-    An aggregate, not a window: copies of a hot key are reduced before the shuffle.
-    """
-    columns = df.columns
-    rank = F.struct(*order, *(name for name in columns if name not in order))
-    best = df.groupBy(*key).agg(F.min(rank).alias("_best"))
-    return best.select(*(F.col(f"_best.{name}").alias(name) for name in columns))
+
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One whole row per key: the first by ``order``."""
+    return _extreme_per_key(df, key, order, F.min)
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One whole row per key: the last by ``order``."""
-    columns = df.columns
-    rank = F.struct(*order, *(name for name in columns if name not in order))
-    best = df.groupBy(*key).agg(F.max(rank).alias("_best"))
-    return best.select(*(F.col(f"_best.{name}").alias(name) for name in columns))
+    return _extreme_per_key(df, key, order, F.max)
 
 
 def apply_block_decisions(transactions: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -73,11 +71,10 @@ def absent_rows(
     # the next round, so the rounds follow the longest chain of such rows.
     while not undecided.isEmpty():
         winners = undecided
-        for number, key in enumerate(any_of):
-            first = undecided.groupBy(*key).agg(F.min(arrival).alias(f"_first_{number}"))
-            winners = winners.join(first, list(key)).filter(
-                F.col(arrival) == F.col(f"_first_{number}")
-            )
+        for key in any_of:
+            # Joined on the unique arrival, so a hot key does not skew the join.
+            first = undecided.groupBy(*key).agg(F.min(arrival).alias(arrival))
+            winners = winners.join(first.select(arrival), arrival, "left_semi")
         winners = stage(winners.select(*incoming.columns), "absent")
         added.append(winners)
         rest = undecided

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import seconds, velocity_reason
 from ledgerwatch.operators.sliding import HOT_ROWS, sliding_totals
 from ledgerwatch.schemas import VelocityRule
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import stage_counted
 
 
 def risk_lookup(customers: DataFrame) -> DataFrame:
@@ -39,7 +39,10 @@ def velocity_candidates(
 
 
 def velocity_counts(
-    candidates: DataFrame, rule: VelocityRule = VelocityRule(), hot_rows: int = HOT_ROWS
+    candidates: DataFrame,
+    rule: VelocityRule = VelocityRule(),
+    hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``event_count``: candidates of the sender in the window, this one included.
 
@@ -55,6 +58,7 @@ def velocity_counts(
         slot=seconds,
         tie_break="arrival",
         hot_rows=hot_rows,
+        rows=rows,
     )
 
 
@@ -76,5 +80,6 @@ def velocity_batch(
 
     Payments that were blocked keep counting, so the rest of a burst is blocked too.
     """
-    candidates = stage(velocity_candidates(payments, customers, rule, arrival), "velocity")
-    return blocks_from_counts(velocity_counts(candidates, rule, hot_rows), rule)
+    candidates = velocity_candidates(payments, customers, rule, arrival)
+    table, rows = stage_counted(candidates, "velocity")
+    return blocks_from_counts(velocity_counts(table, rule, hot_rows, rows), rule)

@@ -30,7 +30,7 @@ from ledgerwatch.operators.velocity import (
 from ledgerwatch.schemas import VelocityRule
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import stage, stage_counted
 
 BROADCAST_ROWS = 2_000_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -142,8 +142,8 @@ def start_velocity_job(
         tail = lake.read("silver", f"{table}_tail", before=batch_id)
         if tail is not None:
             fresh = fresh.unionByName(tail.withColumn("fresh", F.lit(False)))
-        rows = stage(fresh, "velocity")
-        counted = velocity_counts(rows, rule, hot_rows).filter("fresh")
+        rows, n_rows = stage_counted(fresh, "velocity")
+        counted = velocity_counts(rows, rule, hot_rows, n_rows).filter("fresh")
         blocks = blocks_from_counts(counted, rule)
         lake.write(blocks, "silver", table, batch_id)
         newest = rows.agg(F.max("executed_at").alias("_newest"))

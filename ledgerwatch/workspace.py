@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,3 +36,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Like :func:`stage`; the number of rows is counted while they are written."""
+    seen = Observation()
+    table = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return table, seen.get["rows"]

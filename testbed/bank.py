@@ -29,6 +29,8 @@ EVENTS = T.StructType(
         T.StructField("props", T.StringType()),
     ]
 )
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+NATION = "n_nationkey int, n_name string, n_regionkey int"
 
 
 def padded(value: Column, width: int) -> Column:
@@ -46,8 +48,8 @@ def european_text(cents: Column) -> Column:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    customer = spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+    nation = spark.read.schema(NATION).parquet(f"{sf_dir}/nation.parquet")
     number = F.col("c_custkey")
     text = number.cast("string")
     share = (number * 37) % 100
