@@ -47,11 +47,19 @@ def start_lookup(
     return F.broadcast(lookup) if lookup.count() <= max_rows else lookup
 
 
+def with_event_time(events: DataFrame, delay: str) -> DataFrame:
+    """Add ``event_time`` with a watermark, which Spark only has for instants.
+
+    The zone-less time is taken as UTC, whatever the zone of the session.
+    """
+    instant = F.timestamp_micros(micros(F.col("executed_at")))
+    return events.withColumn("event_time", instant).withWatermark("event_time", delay)
+
+
 def without_replays(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop redelivered transactions that come within ``delay`` of event time."""
-    return events.withWatermark("executed_at", delay).dropDuplicatesWithinWatermark(
-        ["transaction_id"]
-    )
+    once = with_event_time(events, delay).dropDuplicatesWithinWatermark(["transaction_id"])
+    return once.drop("event_time")
 
 
 def velocity_stream(
@@ -74,7 +82,7 @@ def velocity_stream(
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     bounded = mode == "bounded"
     if bounded:
-        events = events.withWatermark("executed_at", delay)
+        events = with_event_time(events, delay)
     rows = events.filter(F.col("payment_channel").isin(*rule.channels)).join(
         start_lookup(customers, rule), "sender_iban"
     )
@@ -84,7 +92,7 @@ def velocity_stream(
         "risk_tier",
         micros(F.col("executed_at")).alias("at_micros"),
         F.col(arrival).alias("arrival"),
-        *(["executed_at"] if bounded else []),
+        *(["event_time"] if bounded else []),
     )
     span = rule.window_minutes * 60 * MICROS_PER_SECOND
     hits = (
