@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.schemas import CUSTOMER_COLUMNS, TRANSACTION_COLUMNS
+from ledgerwatch.schemas import CUSTOMER_COLUMNS, CUSTOMERS, TRANSACTION_COLUMNS
+
+
+# Doubled quotes, as spreadsheet programs and other CSV readers expect.
+CSV_OPTIONS = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "escape": '"',
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def export_customers_csv(customers: DataFrame, path: str) -> None:
     """UTF-8 CSV with a header. One file per partition, never gathered in one task."""
-    customers.select(*CUSTOMER_COLUMNS).write.mode("overwrite").option("header", "true").option(
-        "encoding", "UTF-8"
-    ).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+    customers.select(*CUSTOMER_COLUMNS).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Customers as :func:`export_customers_csv` writes them."""
+    return spark.read.schema(CUSTOMERS).options(**CSV_OPTIONS).csv(path)
 
 
 def export_settlements(settlements: DataFrame, folder: str) -> None:

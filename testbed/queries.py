@@ -14,7 +14,6 @@ from ledgerwatch.operators import reconcile as joins
 from ledgerwatch.operators.staging import stage_customers, stage_payments
 from ledgerwatch.plans import batch, declared
 from ledgerwatch.schemas import (
-    CUSTOMERS,
     TRANSACTION_COLUMNS,
     TRANSACTION_REQUIRED,
 )
@@ -174,7 +173,7 @@ def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "customers-csv")
     exports.export_customers_csv(bank.raw_customers(spark, sf_dir), path)
-    return spark.read.schema(CUSTOMERS).option("header", "true").csv(path)
+    return exports.read_customers_csv(spark, path)
 
 
 @query
