@@ -5,27 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerwatch.workspace import stage
 
 
-def _extreme_per_key(df, key, order, extreme) -> DataFrame:
-    # An aggregate, not a window: copies of a hot key are reduced before the shuffle.
-    rank = F.struct(*order, *(name for name in df.columns if name not in order))
-    best = df.groupBy(*key).agg(extreme(rank).alias("_best"))
-    return best.select(*(F.col(f"_best.{name}").alias(name) for name in df.columns))
+def _top_row(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
+    # With a rank limit of one Spark keeps a single row per key in every task before
+    # the shuffle, so the copies of a hot key never meet in one place.
+    rank = F.row_number().over(W.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One whole row per key: the first by ``order``."""
-    return _extreme_per_key(df, key, order, F.min)
+    """One whole row per key: the first by ``order``, ties decided by the other columns."""
+    rest = [name for name in df.columns if name not in order]
+    return _top_row(df, key, [F.asc(name) for name in [*order, *rest]])
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One whole row per key: the last by ``order``."""
-    return _extreme_per_key(df, key, order, F.max)
+    """One whole row per key: the last by ``order``, ties decided by the other columns."""
+    rest = [name for name in df.columns if name not in order]
+    return _top_row(df, key, [F.desc(name) for name in [*order, *rest]])
 
 
 def apply_block_decisions(transactions: DataFrame, decisions: DataFrame) -> DataFrame:

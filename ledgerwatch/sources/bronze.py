@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,20 +62,21 @@ def extract_to_bronze(
 def read_settlement_files(spark: SparkSession, folder: str) -> DataFrame:
     """All settlement rows with the ``file_date`` of the file they stand in.
 
-    The date is taken from the path, so one folder may hold flat files named
-    ``settlement_<date>.parquet`` or ``file_date=<date>`` partitions.
+    A folder may hold ``file_date=<date>`` partitions, flat drops that are named
+    ``settlement_<date>.parquet``, or both.
     """
-    if not path_exists(spark, folder):
-        dated = T.StructType([*TRANSACTIONS.fields, T.StructField("file_date", T.DateType())])
+    dated = T.StructType([*TRANSACTIONS.fields, T.StructField("file_date", T.DateType())])
+    parts = []
+    if path_exists(spark, f"{folder}/file_date=*"):
+        exported = spark.read.schema(dated).option("basePath", folder)
+        parts.append(exported.parquet(f"{folder}/file_date=*"))
+    if path_exists(spark, f"{folder}/settlement_*.parquet"):
+        drops = spark.read.schema(TRANSACTIONS).parquet(f"{folder}/settlement_*.parquet")
+        name = F.substring_index("_metadata.file_path", "settlement_", -1)
+        parts.append(drops.withColumn("file_date", F.left(name, F.lit(10)).cast("date")))
+    if not parts:
         return spark.createDataFrame([], dated)
-    files = (
-        spark.read.schema(TRANSACTIONS)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(folder)
-    )
-    named = F.regexp_extract("_metadata.file_path", r"(?:settlement_|file_date=)(\d{4}-\d\d-\d\d)", 1)
-    return files.withColumn("file_date", named.cast("date"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def load_settlements(
@@ -87,7 +89,7 @@ def load_settlements(
     """
     rows = read_settlement_files(spark, folder)
     if mode == "latest_file":
-        # Counts come from the file footers; one date reaches the driver.
+        # No data column is read for this, and one date reaches the driver.
         newest: date | None = rows.agg(F.max("file_date")).first()[0]
         chosen = rows.filter(F.col("file_date") == F.lit(newest))
     elif mode == "merge_latest":

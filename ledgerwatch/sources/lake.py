@@ -15,9 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULT_LAYER = "default"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern, on any file system Spark knows."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(status.getPath()) for status in system.globStatus(path) or []]
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(matching_paths(spark, pattern))
 
 
 def run_id(run: datetime | int) -> str:
@@ -38,12 +44,8 @@ class Lake:
 
     def runs(self, layer: str | None, table: str) -> list[str]:
         """Committed runs of a table, oldest first."""
-        marks = self.spark._jvm.org.apache.hadoop.fs.Path(
-            f"{self.folder(layer, table)}/run=*/_SUCCESS"
-        )
-        system = marks.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = system.globStatus(marks) or []
-        return sorted(mark.getPath().getParent().getName().removeprefix("run=") for mark in found)
+        marks = matching_paths(self.spark, f"{self.folder(layer, table)}/run=*/_SUCCESS")
+        return sorted(mark.split("/")[-2].removeprefix("run=") for mark in marks)
 
     def write(self, df: DataFrame, layer: str | None, table: str, run: datetime | int) -> DataFrame:
         """Write this run's version and return it as read back."""
