@@ -33,10 +33,13 @@ def file_events(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = 1000,
     file_format: str = "parquet",
 ) -> DataFrame:
-    """A folder (or glob) of event files as a stream, oldest file first."""
+    """A folder (or glob) of event files as a stream, oldest file first.
+
+    ``files_per_trigger`` bounds a micro-batch; None takes all files at once.
+    """
     reader = spark.readStream.format(file_format).schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)

@@ -159,8 +159,3 @@ def start_velocity_job(
         lake.write(recent.drop("_newest", "fresh"), "silver", f"{table}_tail", batch_id)
 
     return events.writeStream.outputMode("append").foreachBatch(decide)
-
-
-def with_counters(decisions: DataFrame, name: str = "velocity") -> DataFrame:
-    """Report the number of decisions of each micro-batch in the query progress."""
-    return decisions.observe(name, F.count(F.lit(1)).alias("blocked"))

@@ -354,9 +354,15 @@ def velocity_batch_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table drained as a stream into the decision table."""
+    """The event table drained as a stream into the decision table.
+
+    The files of the table carry no arrival order, so they are taken together.
+    """
     lake = new_lake(spark)
-    feed = bank.velocity_feed(events.file_events(spark, f"{sf_dir}/event[s].parquet", bank.EVENTS))
+    files = events.file_events(
+        spark, f"{sf_dir}/event[s].parquet", bank.EVENTS, files_per_trigger=None
+    )
+    feed = bank.velocity_feed(files)
     job = live.start_velocity_job(feed, bank.raw_customers(spark, sf_dir), lake)
     checkpoint = new_folder(spark, "velocity-checkpoint")
     job.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -15,6 +15,7 @@ from ledgerwatch.schemas import CUSTOMERS, TRANSACTION_COLUMNS
 from ledgerwatch.sources.events import file_events
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming import velocity as live
+from ledgerwatch.streaming.counters import RunCounters, counted
 from ledgerwatch.streaming.sender_state import counts_in_arrival_order
 
 T0 = datetime(2024, 1, 1, 12)
@@ -146,10 +147,17 @@ def test_keyed_state_follows_arrival_order(spark, tmp_path):
     land(spark, rows[100:], folder)
     feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
     lake = Lake(spark, f"{tmp_path}/lake")
-    stream = live.with_counters(live.velocity_stream(feed, customers(spark)))
-    drain(live.decision_sink(stream, lake), f"{tmp_path}/checkpoint")
+    stream = live.velocity_stream(counted(feed, "events"), customers(spark))
+    totals = RunCounters()
+    spark.streams.addListener(totals)
+    drain(live.decision_sink(counted(stream, "blocked"), lake), f"{tmp_path}/checkpoint")
     expected = simulate(rows)
     assert expected and decided(lake) == expected
+    deadline = time.time() + 20
+    while totals["events"] < 200 and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(totals)
+    assert (totals["events"], totals["blocked"]) == (200, len(expected))
 
 
 @pytest.mark.parametrize("hot_rows", [1, 10**6])
@@ -174,6 +182,25 @@ def test_distributed_job_across_batches_and_a_restart(spark, tmp_path, hot_rows)
     assert newest - timedelta(hours=2) < oldest
 
 
+def test_bounded_mode_forgets_idle_senders(spark, tmp_path):
+    """The watermark moves on by the events of one sender and clears the other."""
+    folder = f"{tmp_path}/feed"
+    land(spark, [event(i, "pep", T0 + timedelta(minutes=i)) for i in range(3)], folder)
+    for hour in range(2, 5):
+        land(spark, [event(10 * hour, "high", T0 + timedelta(hours=4 * hour))], folder)
+    lake = Lake(spark, f"{tmp_path}/lake")
+    kept = {}
+    for mode in ("exact", "bounded"):
+        feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
+        stream = live.velocity_stream(feed, customers(spark), mode=mode)
+        writer = live.decision_sink(stream, lake, mode)
+        query = writer.option("checkpointLocation", f"{tmp_path}/{mode}").trigger(availableNow=True).start()
+        query.awaitTermination()
+        last = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]][-1]
+        kept[mode] = last[0]["numRowsTotal"]
+    assert kept == {"exact": 2, "bounded": 1}
+
+
 def test_replayed_events_can_be_dropped(spark, tmp_path):
     rows = [event(i, "pep", T0 + timedelta(minutes=i)) for i in range(4)]
     folder = f"{tmp_path}/feed"
