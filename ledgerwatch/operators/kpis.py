@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import VELOCITY_PREFIX
+from ledgerwatch.functions.columns import VELOCITY_PREFIX, pseudonymize_iban
 from ledgerwatch.operators.marts import ROLLING
 
 
@@ -73,13 +73,17 @@ def kpi_fraud_breakdown(facts: DataFrame) -> DataFrame:
     )
 
 
-def alert_listing(alerts: DataFrame) -> DataFrame:
-    """Alerts as the dashboard lists them, largest sum first."""
+def alert_listing(alerts: DataFrame, key: str | None = None) -> DataFrame:
+    """Alerts as the dashboard lists them, largest sum first.
+
+    With a ``key`` the customer id is replaced by its keyed hash.
+    """
+    customer = F.col("customer_id")
     return alerts.select(
         "rule_code",
         "transaction_id",
         "sender_iban_truncated",
-        "customer_id",
+        customer if key is None else pseudonymize_iban(customer, key).alias("customer_id"),
         "risk_tier",
         ROLLING,
     ).orderBy(F.desc(ROLLING), "transaction_id")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.marts import aml_alerts, fct_transactions
-from ledgerwatch.operators.quality import run_checks
+from ledgerwatch.operators.quality import Check, run_checks
 from ledgerwatch.operators.reconcile import reconcile_raw
 from ledgerwatch.operators.snapshots import (
     CUSTOMER_CHECKS,
@@ -23,8 +26,10 @@ from ledgerwatch.plans import declared
 from ledgerwatch.schemas import CrossBorderRule
 from ledgerwatch.sources.bronze import extract_to_bronze, settlements_to_bronze
 from ledgerwatch.sources.lake import Lake
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import staged
 
+T = TypeVar("T")
+RECONCILED = "reconciled_transactions"
 OPEN_VERSIONS = "snap_customers_open"
 CLOSED_VERSIONS = "snap_customers_closed"
 
@@ -64,11 +69,12 @@ def update_customer_history(lake: Lake, raw_customers: DataFrame, key: str, run_
     before = lake.read("gold", OPEN_VERSIONS, before=run_ts)
     if before is None:
         before = empty_history(source)
-    after = stage(scd2_apply(before, source, CUSTOMER_KEY, CUSTOMER_CHECKS, run_ts), "history")
-    ended = after.filter(F.col("valid_to").isNotNull())
-    if not ended.isEmpty():
-        lake.write(ended, "gold", CLOSED_VERSIONS, run_ts)
-    lake.write(after.filter(F.col("valid_to").isNull()), "gold", OPEN_VERSIONS, run_ts)
+    after = scd2_apply(before, source, CUSTOMER_KEY, CUSTOMER_CHECKS, run_ts)
+    with staged(after, "history") as (versions, _):
+        ended = versions.filter(F.col("valid_to").isNotNull())
+        if not ended.isEmpty():
+            lake.write(ended, "gold", CLOSED_VERSIONS, run_ts)
+        lake.write(versions.filter(F.col("valid_to").isNull()), "gold", OPEN_VERSIONS, run_ts)
 
 
 def customer_history(lake: Lake) -> DataFrame | None:
@@ -78,6 +84,16 @@ def customer_history(lake: Lake) -> DataFrame | None:
     return live if live is None or closed is None else live.unionByName(closed)
 
 
+def _together(*steps: Callable[[], T]) -> list[T]:
+    """Run steps that do not need each other at the same time; the first error is raised.
+
+    Spark shares the executors among their jobs, so the last tasks of one step do
+    not leave the cluster idle.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [future.result() for future in [pool.submit(step) for step in steps]]
+
+
 def run_batch(
     lake: Lake,
     sources: Sources,
@@ -88,39 +104,49 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Run the whole pipeline into ``lake`` and return its gold tables.
 
-    A check that fails raises and stops the run before the next layer. Running the
+    A check that fails raises and stops the run before the gold layer. Running the
     same ``run_ts`` again gives the same tables, and unchanged customers add no
     versions.
     """
-    settlements = settlements_to_bronze(
-        lake, sources.settlement_folder, run_ts, sources.settlement_mode
+    settlements, customers, transactions = _together(
+        lambda: settlements_to_bronze(
+            lake, sources.settlement_folder, run_ts, sources.settlement_mode
+        ),
+        lambda: extract_to_bronze(sources.customers, lake, "raw_customers", run_ts),
+        lambda: extract_to_bronze(sources.transactions, lake, "raw_transactions", run_ts),
     )
-    customers = extract_to_bronze(sources.customers, lake, "raw_customers", run_ts)
-    transactions = extract_to_bronze(sources.transactions, lake, "raw_transactions", run_ts)
-
     views = staging_views(lake, key)
     register_views(views)
-    if check:
-        run_checks(views["stg_transactions"], declared.STG_TRANSACTIONS, "stg_transactions")
-        run_checks(views["stg_customers"], declared.STG_CUSTOMERS, "stg_customers")
+
+    def checked(table: DataFrame, name: str, checks: list[Check]) -> DataFrame:
+        if check:
+            run_checks(table, checks, name)
+        return table
 
     # Both marts read the reconciled rows, so they are joined once and written.
-    reconciled = lake.write(
-        reconcile_raw(transactions, settlements, key), "silver", "reconciled_transactions", run_ts
-    )
-    facts = lake.write(
-        fct_transactions(reconciled, views["stg_customers"]), "gold", "fct_transactions", run_ts
+    reconciled, _, _ = _together(
+        lambda: lake.write(
+            reconcile_raw(transactions, settlements, key), "silver", RECONCILED, run_ts
+        ),
+        lambda: checked(views["stg_transactions"], "stg_transactions", declared.STG_TRANSACTIONS),
+        lambda: checked(views["stg_customers"], "stg_customers", declared.STG_CUSTOMERS),
     )
-    alerts = lake.write(
-        aml_alerts(reconciled, views["stg_customers"], run_ts, rule),
-        "gold",
-        "fct_daily_aml_alerts",
-        run_ts,
+
+    def write_facts() -> DataFrame:
+        rows = fct_transactions(reconciled, views["stg_customers"])
+        table = lake.write(rows, "gold", "fct_transactions", run_ts)
+        return checked(table, "fct_transactions", declared.FCT_TRANSACTIONS)
+
+    def write_alerts() -> DataFrame:
+        rows = aml_alerts(reconciled, views["stg_customers"], run_ts, rule)
+        table = lake.write(rows, "gold", "fct_daily_aml_alerts", run_ts)
+        return checked(table, "fct_daily_aml_alerts", declared.AML_ALERTS)
+
+    facts, alerts, _ = _together(
+        write_facts,
+        write_alerts,
+        lambda: update_customer_history(lake, customers, key, run_ts),
     )
-    if check:
-        run_checks(facts, declared.FCT_TRANSACTIONS, "fct_transactions")
-        run_checks(alerts, declared.AML_ALERTS, "fct_daily_aml_alerts")
-    update_customer_history(lake, customers, key, run_ts)
     return {
         "fct_transactions": facts,
         "fct_daily_aml_alerts": alerts,

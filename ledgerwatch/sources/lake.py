@@ -12,6 +12,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerwatch.workspace import delete_folder
+
 DEFAULT_LAYER = "default"
 
 
@@ -75,3 +77,8 @@ class Lake:
             return None
         folder = self.folder(layer, table)
         return self.spark.read.parquet(*(f"{folder}/run={run}" for run in runs))
+
+    def keep_newest(self, layer: str | None, table: str, versions: int) -> None:
+        """Delete all but the newest committed versions of a table."""
+        for run in self.runs(layer, table)[:-versions]:
+            delete_folder(self.spark, f"{self.folder(layer, table)}/run={run}")

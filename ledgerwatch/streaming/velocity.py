@@ -19,7 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ledgerwatch.functions.columns import MICROS_PER_SECOND, from_micros, micros, velocity_reason
+from ledgerwatch.functions.columns import (
+    MICROS_PER_SECOND,
+    from_micros,
+    micros,
+    timestamp_ntz,
+    velocity_reason,
+)
 from ledgerwatch.operators.sliding import HOT_ROWS
 from ledgerwatch.operators.velocity import (
     blocks_from_counts,
@@ -30,7 +36,7 @@ from ledgerwatch.operators.velocity import (
 from ledgerwatch.schemas import VelocityRule
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow
-from ledgerwatch.workspace import stage, stage_counted
+from ledgerwatch.workspace import stage, staged
 
 BROADCAST_ROWS = 2_000_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -150,12 +156,14 @@ def start_velocity_job(
         tail = lake.read("silver", f"{table}_tail", before=batch_id)
         if tail is not None:
             fresh = fresh.unionByName(tail.withColumn("fresh", F.lit(False)))
-        rows, n_rows = stage_counted(fresh, "velocity")
-        counted = velocity_counts(rows, rule, hot_rows, n_rows).filter("fresh")
-        blocks = blocks_from_counts(counted, rule)
-        lake.write(blocks, "silver", table, batch_id)
-        newest = rows.agg(F.max("executed_at").alias("_newest"))
-        recent = rows.join(F.broadcast(newest), F.col("executed_at") > F.col("_newest") - F.lit(keep))
-        lake.write(recent.drop("_newest", "fresh"), "silver", f"{table}_tail", batch_id)
+        with staged(fresh, "velocity") as (rows, n_rows):
+            counted = velocity_counts(rows, rule, hot_rows, n_rows).filter("fresh")
+            lake.write(blocks_from_counts(counted, rule), "silver", table, batch_id)
+            newest = rows.agg(F.max("executed_at")).first()[0]
+            if newest is not None:
+                rows = rows.filter(F.col("executed_at") > timestamp_ntz(newest - keep))
+            lake.write(rows.drop("fresh"), "silver", f"{table}_tail", batch_id)
+        # A replay of this micro-batch needs the tail before it.
+        lake.keep_newest("silver", f"{table}_tail", 3)
 
     return events.writeStream.outputMode("append").foreachBatch(decide)

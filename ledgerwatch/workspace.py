@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,15 +33,37 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a DataFrame that reads it back."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any file system Spark knows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """Like :func:`stage`; the number of rows is counted while they are written."""
+def _write(df: DataFrame, path: str) -> tuple[DataFrame, int]:
     seen = Observation()
-    table = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
-    return table, seen.get["rows"]
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once; return a DataFrame that reads it back, and its number of rows.
+
+    The rows are counted while they are written. The files stay until the
+    application's folder is removed, since the reader may be used at any time.
+    """
+    return _write(df, new_folder(df.sparkSession, label))
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """:func:`stage_counted` without the number of rows."""
+    return stage_counted(df, label)[0]
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[tuple[DataFrame, int]]:
+    """:func:`stage_counted` for a block of code; the files are deleted after it."""
+    path = new_folder(df.sparkSession, label)
+    try:
+        yield _write(df, path)
+    finally:
+        delete_folder(df.sparkSession, path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import timestamp_ntz
 from ledgerwatch.operators import kpis
+from ledgerwatch.operators.marts import ROLLING
 from ledgerwatch.operators.quality import QualityError
 from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.plans import batch
@@ -94,6 +95,14 @@ def test_empty_facts_have_no_rate(spark):
     assert kpis.kpi_fraud_breakdown(empty).isEmpty()
 
 
+def test_alert_listing_can_hide_customers(spark):
+    row = ("CODE", "t", "FR12****3456", "C1", "PEP", 1)
+    names = f"rule_code string, transaction_id string, sender_iban_truncated string, customer_id string, risk_tier string, {ROLLING} int"
+    alerts = spark.createDataFrame([row], names)
+    assert kpis.alert_listing(alerts).first().customer_id == "C1"
+    assert len(kpis.alert_listing(alerts, key="k").first().customer_id) == 64
+
+
 def test_live_feed_is_a_top_k(spark):
     feed = kpis.live_feed(bank.raw_transactions(spark, SMALL), rows=5)
     assert feed.count() == 5

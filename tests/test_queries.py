@@ -21,6 +21,13 @@ def test_every_query_has_an_oracle():
 def test_agrees_with_the_oracle(spark, oracle, name):
     result = contract.queries()[name](spark, SMALL)
     assert difference(result, oracle, contract.oracle_sql()[name]) == ""
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in SLOW_OPERATORS:
+        assert operator not in plan
+
+
+# Pair-wise joins, and rows that leave the JVM.
+SLOW_OPERATORS = ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"]
 
 
 # Row counts measured apart from this code, with prototype SQL.

@@ -17,8 +17,8 @@ from ledgerwatch.schemas import (
     TRANSACTIONS,
 )
 from ledgerwatch.sources import bronze, exports, records
-from ledgerwatch.sources.lake import Lake
-from ledgerwatch.workspace import scratch_root, stage_counted
+from ledgerwatch.sources.lake import Lake, path_exists
+from ledgerwatch.workspace import scratch_root, stage_counted, staged
 
 RUN = datetime(2024, 5, 1, 7)
 AT = datetime(2024, 4, 28, 10, 0, 0, 123456)
@@ -222,3 +222,19 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     table, rows = stage_counted(spark.range(7), "t")
     assert rows == 7 and table.count() == 7
     assert all(scratch_root(spark) in file for file in table.inputFiles())
+
+
+def test_staged_tables_of_a_block_are_deleted(spark):
+    with staged(spark.range(3), "t") as (table, rows):
+        files = table.inputFiles()
+        assert rows == 3 and table.count() == 3
+    assert not any(path_exists(spark, file) for file in files)
+
+
+def test_old_versions_can_be_deleted(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    for batch in range(4):
+        lake.write(spark.range(batch), "silver", "tail", batch)
+    lake.keep_newest("silver", "tail", 2)
+    assert lake.runs("silver", "tail") == ["000000000002", "000000000003"]
+    assert lake.read("silver", "tail", before=3).count() == 2
