@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import VELOCITY_PREFIX, pseudonymize_iban
 from ledgerwatch.operators.marts import ROLLING
+from ledgerwatch.operators.upserts import apply_block_decisions
 
 
 def _is_blocked(status: str = "final_status") -> Column:
@@ -89,9 +90,18 @@ def alert_listing(alerts: DataFrame, key: str | None = None) -> DataFrame:
     ).orderBy(F.desc(ROLLING), "transaction_id")
 
 
-def live_feed(transactions: DataFrame, rows: int = 50) -> DataFrame:
-    """The latest transactions: a top-k, which keeps ``rows`` rows per task."""
-    return transactions.orderBy(F.desc("executed_at"), F.desc("transaction_id")).limit(rows)
+def live_feed(
+    transactions: DataFrame, rows: int = 50, decisions: DataFrame | None = None
+) -> DataFrame:
+    """The latest transactions: a top-k, which keeps ``rows`` rows per task.
+
+    Block ``decisions`` are laid over the chosen rows, not over the whole table.
+    """
+    newest_first = [F.desc("executed_at"), F.desc("transaction_id")]
+    latest = transactions.orderBy(*newest_first).limit(rows)
+    if decisions is None:
+        return latest
+    return apply_block_decisions(latest, decisions).orderBy(*newest_first)
 
 
 def blocked_count(transactions: DataFrame) -> DataFrame:

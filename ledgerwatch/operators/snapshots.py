@@ -130,7 +130,9 @@ def as_of(
     """Join each fact to the version that was valid at its time.
 
     Intervals are half-open. The versions of a key do not overlap, so a fact meets
-    at most one of them. The columns of the version get ``prefix``.
+    at most one of them. The columns of the version get ``prefix``. ``history`` should
+    be a stored table: Spark splits a hot key only if both sides are shuffled for the
+    join, and a history fresh from its window is not shuffled again.
     """
     versions = history.select(
         *(F.col(name).alias(f"{prefix}{name}") for name in history.columns)

@@ -104,7 +104,7 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Run the whole pipeline into ``lake`` and return its gold tables.
 
-    A check that fails raises and stops the run before the gold layer. Running the
+    A check that fails raises and stops the run before the next layer. Running the
     same ``run_ts`` again gives the same tables, and unchanged customers add no
     versions.
     """
@@ -123,14 +123,15 @@ def run_batch(
             run_checks(table, checks, name)
         return table
 
-    # Both marts read the reconciled rows, so they are joined once and written.
-    reconciled, _, _ = _together(
-        lambda: lake.write(
-            reconcile_raw(transactions, settlements, key), "silver", RECONCILED, run_ts
-        ),
+    # Checked first: the join below relies on unique transaction ids.
+    _together(
         lambda: checked(views["stg_transactions"], "stg_transactions", declared.STG_TRANSACTIONS),
         lambda: checked(views["stg_customers"], "stg_customers", declared.STG_CUSTOMERS),
     )
+    # Both marts read the reconciled rows, so they are joined once and written.
+    reconciled = lake.write(
+        reconcile_raw(transactions, settlements, key), "silver", RECONCILED, run_ts
+    )
 
     def write_facts() -> DataFrame:
         rows = fct_transactions(reconciled, views["stg_customers"])

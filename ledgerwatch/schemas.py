@@ -72,6 +72,7 @@ CUSTOMER_COLUMNS = CUSTOMERS.fieldNames()
 TRANSACTION_COLUMNS = TRANSACTIONS.fieldNames()
 
 
+# The defaults of the two rules and the code an alert carries.
 @dataclass(frozen=True)
 class VelocityRule:
     """Block a transfer when it is the n-th of its sender within the window.

@@ -99,6 +99,12 @@ def load_settlements(
     return chosen.select(*TRANSACTION_COLUMNS).withColumn("loaded_at", timestamp_ntz(run_ts))
 
 
+def settlement_file_to_bronze(lake: Lake, path: str, run_ts: datetime) -> DataFrame | None:
+    """Load a single settlement file as the new bronze version, unless it is empty."""
+    rows = lake.spark.read.schema(TRANSACTIONS).parquet(path)
+    return extract_to_bronze(rows, lake, "raw_settlements", run_ts, "loaded_at")
+
+
 def settlements_to_bronze(
     lake: Lake, folder: str, run_ts: datetime, mode: str = "merge_latest"
 ) -> DataFrame:

@@ -280,6 +280,8 @@ STATEMENTS = {
     "src_settlements_latest_file": f"""
     SELECT {COLUMNS}, {RUN} AS loaded_at FROM settlement_files
     WHERE file_date = (SELECT max(file_date) FROM settlement_files)""",
+    "src_settlement_file": f"""
+    SELECT {COLUMNS}, {RUN} AS loaded_at FROM settlement_files WHERE file_date = DATE '2024-01-20'""",
     "src_settlements_merge_latest": f"""
     SELECT {COLUMNS}, {RUN} AS loaded_at FROM settlement_files
     QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY file_date DESC) = 1""",

@@ -85,6 +85,18 @@ def src_settlements_latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.load_settlements(spark, folder, bank.RUN_TS, "latest_file")
 
 
+@query
+def src_settlement_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day's file becomes the whole of bronze, and an empty one changes nothing."""
+    folder = exported_settlements(spark, sf_dir)
+    lake = new_lake(spark)
+    bronze.settlement_file_to_bronze(lake, f"{folder}/file_date=2024-01-20", bank.RUN_TS)
+    later = bank.RUN_TS + timedelta(hours=1)
+    empty = new_folder(spark, "settlement-empty")
+    bank.raw_settlements(spark, sf_dir).limit(0).write.parquet(empty)
+    return bronze.settlement_file_to_bronze(lake, empty, later)
+
+
 @query
 def src_settlements_merge_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = exported_settlements(spark, sf_dir)
@@ -402,9 +414,8 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_of_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was known about the sender when the payment was made."""
     known = facts(spark, sf_dir).select("transaction_id", "customer_id", "executed_at")
-    dated = snapshots.as_of(
-        known, scd2_history(spark, sf_dir), "customer_id", F.col("executed_at")
-    )
+    history = stage(scd2_history(spark, sf_dir), "history")
+    dated = snapshots.as_of(known, history, "customer_id", F.col("executed_at"))
     return dated.select(
         "transaction_id",
         "customer_id",
@@ -494,18 +505,22 @@ def alert_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.alert_listing(aml_alerts(spark, sf_dir))
 
 
-def decided_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The operational table after the velocity blocks have been applied."""
-    blocks = velocity_batch(spark, sf_dir)
-    payments = bank.velocity_payments(spark, sf_dir).select(*TRANSACTION_COLUMNS)
-    return upserts.apply_block_decisions(
-        payments, blocks.withColumn("decided_at", fn.timestamp_ntz(bank.RUN_TS))
+def operational(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Payments, and the decisions of the velocity rule on them."""
+    decisions = velocity_batch(spark, sf_dir).withColumn(
+        "decided_at", fn.timestamp_ntz(bank.RUN_TS)
     )
+    return bank.velocity_payments(spark, sf_dir).select(*TRANSACTION_COLUMNS), decisions
+
+
+def decided_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upserts.apply_block_decisions(*operational(spark, sf_dir))
 
 
 @query
 def live_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kpis.live_feed(decided_payments(spark, sf_dir), rows=50)
+    payments, decisions = operational(spark, sf_dir)
+    return kpis.live_feed(payments, rows=50, decisions=decisions)
 
 
 @query
