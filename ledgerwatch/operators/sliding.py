@@ -6,8 +6,9 @@ a bounded RANGE frame would be summed anew for every row.
 
 Keys with many rows do not fit one window task. They are cut into time slots:
 slot totals are pre-aggregated and carried forward, so that each (key, slot) group
-only needs its own rows and one carry row. Both ways are exact, therefore it does
-not matter for the result which way a key takes.
+only needs its own rows and one carry row. Rows of one time are summed up first.
+Both ways are exact, therefore it does not matter for the result which way a key
+takes.
 """
 
 from __future__ import annotations
@@ -70,7 +71,10 @@ def sliding_totals(
     few = df.join(hot, key, "left_anti")
     many = df.join(hot, key, "left_semi")
     plain = _by_key(few, key, at, measures, leaves_after, tie_break)
-    sliced = _by_slot(many, key, at, measures, leaves_after, slot, tie_break)
+    if tie_break is None:
+        sliced = _by_distinct_time(many, key, at, measures, leaves_after, slot)
+    else:
+        sliced = _by_slot(many, key, at, measures, leaves_after, slot, tie_break)
     return plain.select(*columns).unionByName(sliced.select(*columns))
 
 
@@ -92,6 +96,20 @@ def _by_key(df, key, at, measures, leaves_after, tie_break) -> DataFrame:
     return df
 
 
+def _by_distinct_time(df, key, at, measures, leaves_after, slot) -> DataFrame:
+    """Rows with equal times share a total, so one row per time is enough to slide over.
+
+    Times may be coarse, dates even, and a single one may hold a large part of a hot
+    key. Its rows are summed before the shuffle, and meet the total in a join, which
+    adaptive execution splits.
+    """
+    sums = {name: F.sum(value).alias(f"_sum_{name}") for name, value in measures.items()}
+    times = df.groupBy(key, at).agg(*sums.values())
+    summed = {name: F.col(f"_sum_{name}") for name in measures}
+    totals = _by_slot(times, key, at, summed, leaves_after, slot, None)
+    return df.join(totals.select(key, at, *measures), [key, at])
+
+
 def _by_slot(df, key, at, measures, leaves_after, slot, tie_break) -> DataFrame:
     names = list(measures)
     leave_time = F.col(at) + F.expr(_interval_sql(leaves_after))

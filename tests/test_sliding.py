@@ -66,6 +66,21 @@ def test_matches_brute_force(spark, slot, hot_rows, ties):
     }
 
 
+def test_coarse_times_of_a_hot_key_are_summed_before_the_shuffle(spark):
+    """All rows of one key fall on three dates."""
+    rng = random.Random(11)
+    rows = [
+        (i, "hot" if i % 3 else "cold", T0 + timedelta(days=rng.randrange(3) * 20), Decimal(i))
+        for i in range(200)
+    ]
+    frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
+    span = timedelta(days=30)
+    result = sliding_totals(frame, "k", "at", {"total": F.col("v")}, span, minutes, hot_rows=100)
+    assert {row.i: row.total for row in result.collect()} == brute_force(rows, span, False)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[k#" in plan and "partial_sum" in plan
+
+
 def test_known_small_input_takes_the_plain_way(spark):
     rows = random_rows(3, 50, 3600)
     frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
