@@ -16,7 +16,9 @@ def kafka_events(
     """The feed from its earliest event, with ``value`` and an ``arrival`` order.
 
     ``per_trigger`` bounds a micro-batch. Offsets are kept in the checkpoint of
-    the query. Needs the Kafka connector on the class path.
+    the query. The arrival order is the offset: events that are published under
+    their sender as key share a partition, where offsets are a total order. Needs
+    the Kafka connector on the class path.
     """
     feed = (
         spark.readStream.format("kafka")

@@ -123,7 +123,9 @@ def velocity_stream(
 def decision_sink(decisions: DataFrame, lake: Lake, table: str = "block_decisions") -> DataStreamWriter:
     """Writer that appends decisions to a lake table, once per micro-batch.
 
-    A replayed micro-batch replaces its own folder, so no decision is doubled.
+    A replayed micro-batch replaces its own folder, so no decision is doubled. The
+    folders are numbered as the checkpoint numbers its micro-batches: a query that
+    starts from a new checkpoint needs a new table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -146,7 +148,8 @@ def start_velocity_job(
 
     Decisions go to ``silver/<table>``. The candidates that later events can still
     see go to ``silver/<table>_tail``: those of the window before the newest event,
-    and of ``lateness`` more, within which late events get their full count.
+    and of ``lateness`` more, within which late events get their full count. As for
+    :func:`decision_sink`, a new checkpoint needs a new ``table``.
     """
     lookup = start_lookup(customers, rule).withColumnRenamed("sender_iban", "iban")
     keep = timedelta(minutes=rule.window_minutes) + lateness

@@ -223,7 +223,10 @@ def dirty_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(number % 43 == 0, F.left(hashed, F.lit(60)))
         .when(number % 53 != 0, hashed)
         .alias("sender_iban_hmac"),
-        F.when(number % 59 == 0, -amount - 1).when(number % 61 != 0, amount).alias("amount_eur"),
+        F.when(number % 59 == 0, -amount - 1)
+        .when(number % 61 != 0, amount)
+        .cast("decimal(18,2)")
+        .alias("amount_eur"),
         F.when(number % 67 == 0, "LOST").when(number % 71 != 0, F.col("status")).alias("status"),
     )
 

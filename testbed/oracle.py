@@ -114,7 +114,7 @@ TABLES = {
     "ev": payment(f"{START} + (ts - {START}) * 3"),
     "raw_transactions": live("ev") + " WHERE event_id % 101 <> 0",
     "raw_settlements": f"""
-    SELECT * REPLACE ('SETTLED' AS status, NULL AS blocked_reason) FROM (
+    SELECT * REPLACE ('SETTLED' AS status, CAST(NULL AS VARCHAR) AS blocked_reason) FROM (
     {live('ev', '(CASE WHEN event_id % 20 = 1 THEN cents + 50 + event_id % 451 ELSE cents END)')}
     WHERE event_id % 4 <> 0)""",
     "stg_transactions": staged("raw_transactions", RUN),

@@ -8,10 +8,12 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.operators.velocity import velocity_batch
-from ledgerwatch.schemas import CUSTOMERS, TRANSACTION_COLUMNS
+from ledgerwatch.schemas import CUSTOMERS, TRANSACTION_COLUMNS, TRANSACTION_REQUIRED
+from ledgerwatch.sources import records
 from ledgerwatch.sources.events import file_events
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming import velocity as live
@@ -19,6 +21,7 @@ from ledgerwatch.streaming.counters import RunCounters, counted
 from ledgerwatch.streaming.sender_state import counts_in_arrival_order
 
 T0 = datetime(2024, 1, 1, 12)
+TEXT = T.StructType([T.StructField("value", T.StringType())])
 TIERS = {"high": "HIGH", "pep": "PEP", "low": "LOW", "medium": "MEDIUM"}
 
 
@@ -182,6 +185,35 @@ def test_distributed_job_across_batches_and_a_restart(spark, tmp_path, hot_rows)
     assert newest - timedelta(hours=2) < oldest
 
 
+def test_json_feed_from_text_to_decisions(spark, tmp_path):
+    """Decode, fill defaults, set faulty events aside, and decide on the others."""
+    rows = random_events(5, 120)
+    folder = f"{tmp_path}/feed"
+    for part in (rows[:60], rows[60:]):
+        encoded = records.encode_events(frame(spark, part)).select("value")
+        broken = spark.createDataFrame([("{broken",), ('{"transaction_id":"x"}',)], "value string")
+        encoded.unionByName(broken).coalesce(1).write.mode("append").text(folder)
+        time.sleep(1.1)
+    lake = Lake(spark, f"{tmp_path}/lake")
+
+    def checked_feed():
+        text = file_events(spark, folder, TEXT, files_per_trigger=1, file_format="text")
+        filled = records.with_defaults(records.decode_events(text), records.TRANSACTION_DEFAULTS)
+        return records.validate_records(
+            filled, TRANSACTION_REQUIRED, records.TRANSACTION_DOMAINS, ["executed_at"]
+        )
+
+    valid, _ = checked_feed()
+    stream = live.velocity_stream(valid, customers(spark), arrival="transaction_id")
+    drain(live.decision_sink(stream, lake), f"{tmp_path}/decisions-checkpoint")
+    _, quarantine = checked_feed()
+    drain(live.decision_sink(quarantine, lake, "quarantine"), f"{tmp_path}/quarantine-checkpoint")
+
+    expected = simulate(rows)
+    assert expected and decided(lake) == expected
+    assert lake.read_all("silver", "quarantine").count() == 4
+
+
 def test_bounded_mode_forgets_idle_senders(spark, tmp_path):
     """The watermark moves on by the events of one sender and clears the other."""
     folder = f"{tmp_path}/feed"
