@@ -114,6 +114,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source")
     counted = rule_counts(docs, text_col)
     light = counted.select(F.col(f"row.`{host_col}`").alias("from"), "base_failed")
     verdicts = host_verdicts(light, F.col("from")).where("host_kept")
-    good = counted.where(~F.col("base_failed"))
+    # A filter on what a row's own projections compute would be pushed below them and have every
+    # step written into it, so it also asks for a column that has no value before them.
+    good = counted.select("*", F.monotonically_increasing_id().alias("place"))
+    good = good.where(~F.col("base_failed") & (F.col("place") >= 0))
     good = good.join(verdicts, good[f"row.`{host_col}`"].eqNullSafe(verdicts["host"]), "left_semi")
     return good.select("row.*")
