@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import mixing, ngram_join, quality_rules, sentencepiece_codec, suffix_dedup
+from ledgerwatch.llm import (
+    cap_filters, html_extraction, lookup_sharding, mixing, ngram_join, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
+)
 
 #: Folder of the public vocabulary files, the same on every machine.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -34,6 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return workers_import(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    files = warc.write_archives(pages, warc.archive_folder(spark))
+    return warc.read_archives(files, with_payload=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.main_text(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select(
@@ -44,6 +59,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return lookup_sharding.assign(docs, docs["doc_id"]).select("row.doc_id", "slot", "shard")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_codec.encode_documents(docs, model_path()).select(
@@ -54,6 +74,11 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.rule_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select(F.col("id").alias("doc_id"), *quality_rules.COUNTS, "kept")
@@ -70,11 +95,21 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cap_filters.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op2_html_extraction": op2_html_extraction,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_sharding": op4_sharding,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
+    "op10_cap_filters": op10_cap_filters,
 }
 ORACLES: dict[str, str] = {}
