@@ -8,6 +8,10 @@ A key that every document holds is one entry per block, so no key makes a task h
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -122,7 +126,24 @@ def counts(spark: SparkSession, docs: DataFrame, text: Column) -> tuple[int, int
     """Numbers of blocks and of buckets, from the bytes of text and the session's partitions."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * parts, -(-size // BLOCK_BYTES)), min(max(parts, size // (64 << 20)), 1 << 16)
+    return max(4 * parts, -(-size // BLOCK_BYTES)), min(max(4 * parts, size // BLOCK_BYTES), 1 << 16)
+
+
+def frugal(group: Callable) -> Callable:
+    """Give a group's memory back to the system after it; a worker else keeps the largest group's."""
+
+    @functools.wraps(group)
+    def run(*tables):
+        if pa.default_memory_pool().backend_name != "system":
+            pa.set_memory_pool(pa.system_memory_pool())
+        out = group(*tables)
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+        return out
+
+    return run
 
 
 def block_of(n: int, *columns: Column) -> Column:

@@ -100,6 +100,7 @@ def _key(code: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _count(words: int, buckets: int):
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, code = shingle_sets(*B.utf8(table["text"]), words)
         slot, times = np.unique(_key(code, buckets), return_counts=True)
@@ -115,6 +116,7 @@ def _count(words: int, buckets: int):
     return run
 
 
+@B.frugal
 def _answer(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     parts = [B.unpack(d) for d in table["data"].to_pylist()]
     rest = np.concatenate([B.unplanes(p[0], 4, np.uint32) for p in parts])
@@ -138,6 +140,7 @@ SETS = "id long, n long, sig string, codes binary, one array<long>, two binary,
 def _prefixes(words: int, percent: int, buckets: int):
     """Per block: each document's set size, and if it may have partners its shared shingles and prefixes."""
 
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids = docs["id"].to_pylist()
         row, code = shingle_sets(*B.utf8(docs["text"]), words)

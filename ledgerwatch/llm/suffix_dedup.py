@@ -94,6 +94,7 @@ def _key(gram: np.ndarray, buckets: int) -> np.ndarray:
 def _sketch(length: int, buckets: int):
     """Per block: each anchor with its smallest document, its context, and how many of both."""
 
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         data, offsets = B.utf8(table["text"])
         ids = B.ids(table["id"])
@@ -120,6 +121,7 @@ def _sketch(length: int, buckets: int):
     return run
 
 
+@B.frugal
 def _resolve(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Per bucket: tell each block which of its anchors occur in two documents."""
     parts = [B.unpack(d) for d in table["data"].to_pylist()]
@@ -129,6 +131,7 @@ def _resolve(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     low = np.concatenate([B.unplanes(p[2], 8, np.int64) for p in parts])
     flags = np.concatenate([np.frombuffer(p[3], np.uint8) for p in parts])
     sizes = np.array([len(p[3]) for p in parts])
+    del parts
     order = np.argsort(rest, kind="stable")
     at = np.flatnonzero(np.r_[True, rest[order][1:] != rest[order][:-1]])
     group = np.empty(len(rest), np.int64)
@@ -182,6 +185,7 @@ def _crowded_windows(data: np.ndarray, c: dict, pick: np.ndarray, length: int) -
 def _contexts_to_merge(length: int, buckets: int):
     """Per block: the distinct contexts of shared anchors, with their smallest document."""
 
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         data, offsets = B.utf8(docs["text"])
         ids = B.ids(docs["id"])
@@ -314,6 +318,7 @@ def smallest_documents(
 def _merge(length: int):
     """Per bucket: merge the contexts, and tell each block the documents of its windows."""
 
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = [B.unpack(d) for d in table["data"].to_pylist()]
         gram, code, doc = (np.concatenate([B.unplanes(p[i], 8, t) for p in parts]) for i, t in ((0, np.uint64), (1, np.uint64), (4, np.int64)))
@@ -384,6 +389,7 @@ def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) ->
 
 
 def _remove(length: int, buckets: int, out: pa.Schema):
+    @B.frugal
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         data, offsets = B.utf8(docs["text"])
         gone = _spans(data, offsets, B.ids(docs["id"]), answers, length, buckets)
@@ -420,10 +426,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         text.alias("text"),
         F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row"),
     )
-    narrow = blocks.select("block", "id", "text")
-    asked = narrow.groupBy("block").applyInArrow(_sketch(length, buckets), B.MESSAGE)
+    # All three steps read the blocks alike, so their shuffle is one.
+    asked = blocks.groupBy("block").applyInArrow(_sketch(length, buckets), B.MESSAGE)
     known = asked.groupBy("bucket").applyInArrow(_resolve, B.MESSAGE)
-    to_merge = narrow.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_contexts_to_merge(length, buckets), B.MESSAGE)
+    to_merge = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_contexts_to_merge(length, buckets), B.MESSAGE)
     merged = to_merge.groupBy("bucket").applyInArrow(_merge(length), B.MESSAGE)
     row = blocks.schema["row"].dataType
     span = T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))
