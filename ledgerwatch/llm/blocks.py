@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import inspect
 from collections.abc import Callable
 
 import numpy as np
@@ -129,19 +130,33 @@ def counts(spark: SparkSession, docs: DataFrame, text: Column) -> tuple[int, int
     return max(4 * parts, -(-size // BLOCK_BYTES)), min(max(4 * parts, size // BLOCK_BYTES), 1 << 16)
 
 
+def _release() -> None:
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def frugal(group: Callable) -> Callable:
     """Give a group's memory back to the system after it; a worker else keeps the largest group's."""
-
-    @functools.wraps(group)
-    def run(*tables):
-        if pa.default_memory_pool().backend_name != "system":
-            pa.set_memory_pool(pa.system_memory_pool())
-        out = group(*tables)
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            pass
-        return out
+    # Spark looks at the number of arguments, so each has a wrapper of its own.
+    if len(inspect.signature(group).parameters) == 2:
+
+        @functools.wraps(group)
+        def run(key, table):
+            out = group(key, table)
+            _release()
+            return out
+
+    else:
+
+        @functools.wraps(group)
+        def run(key, left, right):
+            out = group(key, left, right)
+            _release()
+            return out
 
     return run
 
