@@ -115,6 +115,26 @@ def take_slices(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     return data[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
 
 
+def run_values(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The polynomial of each run ``data[start:end]``; runs are in order and do not overlap.
+
+    Powers start anew every ``STEP`` bytes; a longer run is taken alone.
+    """
+    out, lo = np.zeros(len(start), U64), 0
+    while lo < len(start):
+        base = start[lo]
+        hi = max(int(np.searchsorted(end, base + STEP, "right")), lo + 1)
+        part = data[base : end[hi - 1]]
+        if len(part) > STEP:
+            out[lo] = (BYTE_CODE[part] * _powers(_BASE, len(part))).sum(dtype=U64)
+        else:
+            total = np.zeros(len(part) + 1, U64)
+            np.cumsum(BYTE_CODE[part] * POWER[: len(part)], out=total[1:])
+            out[lo:hi] = (total[end[lo:hi] - base] - total[start[lo:hi] - base]) * UNPOWER[start[lo:hi] - base]
+        lo = hi
+    return out
+
+
 def find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each key is among the sorted ones, and where."""
     if not len(sorted_keys):

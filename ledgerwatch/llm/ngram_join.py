@@ -50,31 +50,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         last[ends[ends >= 0]] = True
         end = np.flatnonzero(inside & (last | ~np.r_[inside[1:], False])) + 1
         counts[lo:hi] = np.searchsorted(start, ends + 1) - np.searchsorted(start, at)
-        out.append(_hash_runs(_LOWER[piece], start, end))
+        out.append(B.mix(B.run_values(_LOWER[piece], start, end) + (end - start).astype(np.uint64)))
         lo = hi
     return np.concatenate(out) if out else np.zeros(0, np.uint64), counts
 
 
-def _hash_runs(piece: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each run; powers start anew in windows of STEP bytes, however long the text."""
-    if len(piece) <= B.STEP:
-        total = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(B.BYTE_CODE[piece] * B.POWER[: len(piece)], out=total[1:])
-        return B.mix(((total[end] - total[start]) * B.UNPOWER[start]) + (end - start).astype(np.uint64))
-    out, lo = np.zeros(len(start), np.uint64), 0
-    while lo < len(start):  # one long text: by runs of words that fit, a longer word alone
-        hi = max(int(np.searchsorted(end, start[lo] + B.STEP, "right")), lo + 1)
-        base = start[lo]
-        part = piece[base : end[hi - 1]]
-        if len(part) <= B.STEP:
-            out[lo:hi] = _hash_runs(part, start[lo:hi] - base, end[lo:hi] - base)
-        else:
-            power = B._powers(B._BASE, len(part))
-            out[lo] = B.mix(np.array([(B.BYTE_CODE[part] * power).sum(dtype=np.uint64) + np.uint64(len(part))], np.uint64))[0]
-        lo = hi
-    return out
-
-
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of each row's distinct shingles, in order of both."""
     hashes, counts = word_hashes(data, offsets)

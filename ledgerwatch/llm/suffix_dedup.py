@@ -33,7 +33,7 @@ from ledgerwatch.llm import blocks as B
 #: Bytes of an anchor.
 ANCHOR = 24
 #: Distinct contexts of an anchor beyond which its windows travel singly.
-CROWD = 64
+CROWD = 1024
 #: Shards of a merge, and symbols that are merged at a time (whole anchors only).
 SHARDS = 4
 MERGE_SYMBOLS = 1 << 18
@@ -207,7 +207,7 @@ def _contexts_to_merge(length: int, buckets: int):
         for b, i, j in B.slices(B.place(route[keep], buckets)[0]):
             k = keep[i:j]
             text = B.take_slices(data, start[k], size[k])
-            rows.append((b, key[0].as_py(), B.pack(B.planes(gram[k]), B.planes(code[k]), size[k].astype(np.uint16).tobytes(), place[k].astype(np.uint16).tobytes(), B.planes(doc[k]), text.tobytes())))
+            rows.append((b, key[0].as_py(), B.pack(size[k].astype(np.uint16).tobytes(), place[k].astype(np.uint16).tobytes(), B.planes(doc[k]), text.tobytes())))
         return B.messages(rows)
 
     return run
@@ -321,16 +321,18 @@ def _merge(length: int):
     @B.frugal
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         parts = [B.unpack(d) for d in table["data"].to_pylist()]
-        gram, code, doc = (np.concatenate([B.unplanes(p[i], 8, t) for p in parts]) for i, t in ((0, np.uint64), (1, np.uint64), (4, np.int64)))
-        size, place = (np.concatenate([np.frombuffer(p[i], np.uint16) for p in parts]).astype(np.int64) for i in (2, 3))
-        text = np.concatenate([np.frombuffer(p[5], np.uint8) for p in parts])
-        counts = np.array([len(p[2]) // 2 for p in parts])
+        size, place = (np.concatenate([np.frombuffer(p[i], np.uint16) for p in parts]).astype(np.int64) for i in (0, 1))
+        doc = np.concatenate([B.unplanes(p[2], 8, np.int64) for p in parts])
+        text = np.concatenate([np.frombuffer(p[3], np.uint8) for p in parts])
+        counts = np.array([len(p[0]) // 2 for p in parts])
+        starts = np.cumsum(size) - size
+        gram = B.mix(B.run_values(text, starts + place, starts + place + min(ANCHOR, length)))
+        code = B.mix(B.run_values(text, starts, starts + size), 1) ^ B.mix((size - length).astype(np.uint64), 2)
         order = np.lexsort((doc, code, gram))
         new = np.r_[True, (code[order][1:] != code[order][:-1]) | (gram[order][1:] != gram[order][:-1])]
         keep = order[new]
         unique = np.empty(len(order), np.int64)
         unique[order] = np.cumsum(new) - 1
-        starts = np.cumsum(size) - size
         windows = (size - length + 1)[keep]
         least = smallest_documents(B.take_slices(text, starts[keep], size[keep]), size[keep], gram[keep], place[keep], doc[keep], length)
         first = np.cumsum(windows) - windows
@@ -338,7 +340,7 @@ def _merge(length: int):
         for b, e, n in zip(table["block"].to_pylist(), np.cumsum(counts).tolist(), counts.tolist()):
             u = unique[e - n : e]
             values = B.take_slices(least, first[u], windows[u])
-            rows.append((key[0].as_py(), b, B.pack(b"", B.planes(gram[e - n : e]), B.planes(code[e - n : e]), windows[u].astype(np.uint16).tobytes(), B.planes(values))))
+            rows.append((key[0].as_py(), b, B.pack(b"", B.planes(code[e - n : e]), windows[u].astype(np.uint16).tobytes(), B.planes(values))))
         return B.messages(rows)
 
     return run
@@ -346,7 +348,7 @@ def _merge(length: int):
 
 def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) -> np.ndarray:
     """Which bytes of a block an earlier document holds."""
-    merged = [d[0] == 5 for d in answers["data"].to_pylist()]
+    merged = [d[0] == 4 for d in answers["data"].to_pylist()]
     slots, kinds, least = _told(answers.filter(pa.array([not m for m in merged])))
     edge = np.zeros(len(data) + 1, np.int32)
 
@@ -363,7 +365,7 @@ def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) ->
         cover(c["begin"][pick], c["end"][pick] + length)
         code, first, windows, values, filled = [], [], [], [], 0
         for data_ in answers.filter(pa.array(merged))["data"].to_pylist():
-            _, _, b, w, v = B.unpack(data_)
+            _, b, w, v = B.unpack(data_)
             n = np.frombuffer(w, np.uint16).astype(np.int64)
             code.append(B.unplanes(b, 8, np.uint64))
             windows.append(n)
