@@ -18,8 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text of one block, in bytes; blocks are also at least four per shuffle partition.
-BLOCK_BYTES = 16 << 20
+#: Text of one block, in bytes, and text whose hashes one bucket answers. There are at least three
+#: blocks and one bucket per shuffle partition. A block has a message for each bucket it has
+#: hashes for, so with more memory for a task both may grow, for fewer messages.
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 6 << 20
 #: Bytes that one pass of the hash functions looks at.
 STEP = 1 << 18
 LAST = np.iinfo(np.int64).max
@@ -147,7 +149,7 @@ def counts(spark: SparkSession, docs: DataFrame, text: Column) -> tuple[int, int
     """Numbers of blocks and of buckets, from the bytes of text and the session's partitions."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * parts, -(-size // BLOCK_BYTES)), min(max(4 * parts, size // BLOCK_BYTES), 1 << 16)
+    return max(3 * parts, -(-size // BLOCK_BYTES)), min(max(parts, -(-size // BUCKET_BYTES)), 1 << 16)
 
 
 def _release() -> None:
