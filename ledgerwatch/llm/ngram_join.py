@@ -7,9 +7,10 @@
    common order of all shingles. Three orders are used, all with rare shingles first, with
    ties broken by different hashes. The first gives candidates; they stay if they share a
    prefix shingle under the second and the third order too; the rest are compared exactly.
-3. A group of documents with one prefix shingle is not expanded into pairs: all are compared
-   with one leader, twice with different leaders, and only pairs that neither leader has
-   already joined are compared one by one. Components of the links found are those of all links.
+3. A group of documents with one prefix shingle is not expanded into pairs: those that are not
+   yet connected with its leader are compared with it, in rounds with other leaders, until the
+   pairs of unconnected documents are no more than the documents in the groups. Only those are
+   compared one by one. Components of the links found are those of all links.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.llm import blocks as B
 from ledgerwatch.llm.components import components
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import stage, stage_counted
 
 WORDS, PERCENT = 5, 80
+#: Rounds of comparing with leaders, at most; fewer once the pairs that are left are few.
+TURNS = 6
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -201,7 +204,7 @@ def linked_documents(
     text: Column = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     n, buckets = B.counts(spark, docs, text)
     blocks = docs.select(B.block_of(n, docs[id_col], text).alias("block"), docs[id_col].cast("long").alias("id"), text.alias("text"))
-    asked = blocks.select("block", "text").groupBy("block").applyInArrow(_count(words, buckets), B.MESSAGE)
+    asked = blocks.groupBy("block").applyInArrow(_count(words, buckets), B.MESSAGE)
     answers = asked.groupBy("bucket").applyInArrow(_answer, B.MESSAGE)
     every = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_prefixes(words, percent, buckets), SETS), "shingles")
     least = F.min(F.coalesce("id", F.lit(B.LAST))).alias("id")
@@ -211,28 +214,30 @@ def linked_documents(
     sets = stage(sets, "classes")
     tokens = stage(sets.select("sig", "n", F.explode("one").alias("token")), "prefixes")
     close = F.expr(f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}")
-    found = []
-    marks = tokens.select("sig", "n", "token")
-    for turn in (1, 2):
-        rank = F.struct(F.xxhash64("sig", F.lit(turn)).alias("r"), "sig", "n")
-        crowd = marks.groupBy("token").agg(F.min(rank).alias("leader"), F.count(F.lit(1)).alias("held")).where("held > 1")
-        crowd = crowd.select("token", F.col("leader.sig").alias("sig"), F.col("leader.n").alias("n"))
-        x, y = marks.alias("x"), crowd.alias("y")
-        pairs = x.join(y, F.expr("x.token = y.token and x.sig <> y.sig") & close)
+    marks = tokens.withColumn("label", F.col("sig"))
+    links = None
+    for turn in range(TURNS):
+        # First one leader for all groups a document is in, then others for each of them.
+        draw = F.xxhash64("sig", *([F.lit(turn), F.col("token")] if turn else []))
+        rank = F.struct(draw.alias("r"), "sig", "n", "label")
+        leaders = marks.groupBy("token").agg(F.min(rank).alias("leader")).select("token", "leader.*")
+        x, y = marks.alias("x"), leaders.alias("y")
+        pairs = x.join(y, F.expr("x.token = y.token and x.label <> y.label") & close)
         pairs = pairs.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
-        links = stage(_linked(pairs, sets, percent), "links")
-        found.append(links)
-        label = links.select(F.col("a").alias("sig"), F.col("b").alias("m")).unionByName(links.select(F.col("b").alias("sig"), F.col("a").alias("m")))
-        label = label.groupBy("sig").agg(F.min("m").alias("m")).select(F.col("sig").alias("who"), F.least("sig", "m").alias(f"label{turn}"))
-        marks = marks.join(label, marks.sig == label.who, "left").drop("who")
-        marks = marks.withColumn(f"label{turn}", F.coalesce(f"label{turn}", "sig"))
-        mixed = marks.groupBy("token").agg(F.min(f"label{turn}").alias("lo"), F.max(f"label{turn}").alias("hi")).where("lo <> hi").select(F.col("token").alias("t"))
-        marks = stage(marks.join(mixed, marks.token == mixed.t, "left_semi"), "prefixes")
+        more = _linked(pairs, sets, percent)
+        links = stage(more if links is None else links.unionByName(more), "links")
+        roots = components(links).withColumnRenamed("node", "who")
+        marks = marks.drop("label").join(roots, F.col("sig") == F.col("who"), "left")
+        marks = marks.select("sig", "n", "token", F.coalesce("root", "sig").alias("label"))
+        held = marks.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        held = stage(held.where("all * all > same").select(F.col("token").alias("t"), ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")), "mixed")
+        marks, left = stage_counted(marks.join(held, marks.token == held.t, "left_semi"), "prefixes")
+        if (held.agg(F.sum("pairs")).first()[0] or 0) <= left:
+            break
     x, y = marks.alias("x"), marks.alias("y")
-    rest = x.join(y, F.expr("x.token = y.token and x.sig < y.sig and x.label1 <> y.label1 and x.label2 <> y.label2") & close)
+    rest = x.join(y, F.expr("x.token = y.token and x.sig < y.sig and x.label <> y.label") & close)
     rest = rest.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
-    found.append(_linked(rest, sets, percent))
-    links = found[0].unionByName(found[1]).unionByName(found[2])
+    links = links.unionByName(_linked(rest, sets, percent))
     return every.select("id", "n", "sig"), sets.select("sig", "id", "n"), links
 
 
