@@ -349,7 +349,7 @@ def _merge(length: int):
 def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) -> np.ndarray:
     """Which bytes of a block an earlier document holds."""
     merged = [d[0] == 4 for d in answers["data"].to_pylist()]
-    slots, kinds, least = _told(answers.filter(pa.array([not m for m in merged])))
+    slots, kinds, least = _told(answers.filter(pa.array([not m for m in merged], pa.bool_())))
     edge = np.zeros(len(data) + 1, np.int32)
 
     def cover(start: np.ndarray, end: np.ndarray) -> None:
@@ -364,7 +364,7 @@ def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) ->
         pick = np.flatnonzero((kind == SINGLE) & (np.where(hit, least[at], 0) < doc))
         cover(c["begin"][pick], c["end"][pick] + length)
         code, first, windows, values, filled = [], [], [], [], 0
-        for data_ in answers.filter(pa.array(merged))["data"].to_pylist():
+        for data_ in answers.filter(pa.array(merged, pa.bool_()))["data"].to_pylist():
             _, b, w, v = B.unpack(data_)
             n = np.frombuffer(w, np.uint16).astype(np.int64)
             code.append(B.unplanes(b, 8, np.uint64))
