@@ -31,6 +31,10 @@ def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Dat
     return _top_row(df, key, [F.desc(name) for name in [*order, *rest]])
 
 
+def _has_null(key: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(name).isNull() for name in key])
+
+
 def apply_block_decisions(transactions: DataFrame, decisions: DataFrame) -> DataFrame:
     """Set status and reason of every decided transaction; the latest decision wins.
 
@@ -57,12 +61,15 @@ def absent_rows(
     """The incoming rows that inserting one by one, in arrival order, would add.
 
     ``any_of`` lists the unique keys. A row is skipped if a row of the target, or
-    an earlier row that was itself added, has the same value in any of them. Key
-    columns are NOT NULL and ``arrival`` is unique, as in the source tables.
+    an earlier row that was itself added, has the same value in any of them. As in a
+    unique index, a key with a NULL in it conflicts with nothing. ``arrival`` is unique
+    and not NULL, as in the source tables; an error is raised where that stops the work.
     """
     if len(any_of) == 1:
         key = list(any_of[0])
-        return first_per_key(incoming, key, [arrival]).join(target, key, "left_anti")
+        free = _has_null(key)
+        first = first_per_key(incoming.filter(~free), key, [arrival]).join(target, key, "left_anti")
+        return first.unionByName(incoming.filter(free).select(*first.columns))
 
     undecided = incoming
     for key in any_of:
@@ -76,11 +83,14 @@ def absent_rows(
         winners = undecided
         for key in any_of:
             # Joined on the unique arrival, so a hot key does not skew the join.
-            first = undecided.groupBy(*key).agg(F.min(arrival).alias(arrival))
-            winners = winners.join(first.select(arrival), arrival, "left_semi")
+            first = undecided.filter(~_has_null(key)).groupBy(*key).agg(F.min(arrival).alias(arrival))
+            first = first.select(arrival, F.lit(True).alias("_first"))
+            winners = winners.join(first, arrival, "left").filter(F.col("_first") | _has_null(key)).drop("_first")
         winners = stage(winners.select(*incoming.columns), "absent")
+        if winners.isEmpty():
+            raise ValueError(f"no row can be the first: {arrival} is NULL or not unique")
         added.append(winners)
-        rest = undecided
+        rest = undecided.join(winners.select(arrival), arrival, "left_anti")
         for key in any_of:
             rest = rest.join(winners.select(*key), list(key), "left_anti")
         undecided = stage(rest.select(*incoming.columns), "absent")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import seconds, velocity_reason
@@ -62,11 +62,11 @@ def velocity_counts(
     )
 
 
-def blocks_from_counts(counts: DataFrame, rule: VelocityRule = VelocityRule()) -> DataFrame:
-    """The counted payments that reach the limit, with the text of the block."""
+def blocks_from_counts(counts: DataFrame, rule: VelocityRule = VelocityRule(), *also: Column) -> DataFrame:
+    """The counted payments that reach the limit, with the text of the block, and columns ``also``."""
     hits = counts.filter(F.col("event_count") >= rule.max_transactions)
     reason = velocity_reason(F.col("event_count"), rule.window_minutes, F.col("risk_tier"))
-    return hits.select("transaction_id", "event_count", reason.alias("blocked_reason"))
+    return hits.select("transaction_id", "event_count", reason.alias("blocked_reason"), *also)
 
 
 def velocity_batch(

@@ -63,7 +63,9 @@ def update_customer_history(lake: Lake, raw_customers: DataFrame, key: str, run_
     """Advance the customer history by one run.
 
     Only the open versions are rewritten, one per customer. Versions that this run
-    closes are added to the closed ones, which no later run reads or writes.
+    closes are added to the closed ones, which no later run reads or writes. The open
+    versions are written last and are the mark of the run: closed ones of a run without
+    them are not read, and a repeated run replaces both parts, also where it closes none.
     """
     source = snapshot_source(raw_customers, key)
     before = lake.read("gold", OPEN_VERSIONS, before=run_ts)
@@ -71,17 +73,18 @@ def update_customer_history(lake: Lake, raw_customers: DataFrame, key: str, run_
         before = empty_history(source)
     after = scd2_apply(before, source, CUSTOMER_KEY, CUSTOMER_CHECKS, run_ts)
     with staged(after, "history") as (versions, _):
-        ended = versions.filter(F.col("valid_to").isNotNull())
-        if not ended.isEmpty():
-            lake.write(ended, "gold", CLOSED_VERSIONS, run_ts)
+        lake.write(versions.filter(F.col("valid_to").isNotNull()), "gold", CLOSED_VERSIONS, run_ts)
         lake.write(versions.filter(F.col("valid_to").isNull()), "gold", OPEN_VERSIONS, run_ts)
 
 
 def customer_history(lake: Lake) -> DataFrame | None:
     """All versions of all customers."""
+    runs = lake.runs("gold", OPEN_VERSIONS)
+    if not runs:
+        return None
     live = lake.read("gold", OPEN_VERSIONS)
-    closed = lake.read_all("gold", CLOSED_VERSIONS)
-    return live if live is None or closed is None else live.unionByName(closed)
+    closed = lake.read_all("gold", CLOSED_VERSIONS, upto=runs[-1])
+    return live if closed is None else live.unionByName(closed)
 
 
 def _together(*steps: Callable[[], T]) -> list[T]:

@@ -84,7 +84,8 @@ def load_settlements(
 ) -> DataFrame:
     """Settlement rows for bronze, with the load time.
 
-    ``merge_latest`` keeps each transaction once, from the newest file that has it.
+    ``merge_latest`` keeps each transaction once, from the newest file that has it, and
+    every row that has no id.
     ``latest_file`` keeps the newest file with any rows and nothing else.
     """
     rows = read_settlement_files(spark, folder)
@@ -93,7 +94,10 @@ def load_settlements(
         newest: date | None = rows.agg(F.max("file_date")).first()[0]
         chosen = rows.filter(F.col("file_date") == F.lit(newest))
     elif mode == "merge_latest":
-        chosen = last_per_key(rows, ["transaction_id"], ["file_date"])
+        # Rows without id are not copies of each other.
+        named = F.col("transaction_id").isNotNull()
+        chosen = last_per_key(rows.filter(named), ["transaction_id"], ["file_date"])
+        chosen = chosen.unionByName(rows.filter(~named))
     else:
         raise ValueError(f"unknown mode {mode}")
     return chosen.select(*TRANSACTION_COLUMNS).withColumn("loaded_at", timestamp_ntz(run_ts))

@@ -67,12 +67,10 @@ class Lake:
         return self.spark.read.parquet(f"{self.folder(layer, table)}/run={runs[-1]}")
 
     def read_all(
-        self, layer: str | None, table: str, before: datetime | int | None = None
+        self, layer: str | None, table: str, upto: str | None = None
     ) -> DataFrame | None:
-        """All versions together, for tables to which every run only adds."""
-        runs = self.runs(layer, table)
-        if before is not None:
-            runs = [run for run in runs if run < run_id(before)]
+        """All versions together, or those up to a named run, for tables to which every run only adds."""
+        runs = [run for run in self.runs(layer, table) if upto is None or run <= upto]
         if not runs:
             return None
         folder = self.folder(layer, table)

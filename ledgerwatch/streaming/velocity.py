@@ -23,7 +23,6 @@ from ledgerwatch.functions.columns import (
     MICROS_PER_SECOND,
     from_micros,
     micros,
-    timestamp_ntz,
     velocity_reason,
 )
 from ledgerwatch.operators.sliding import HOT_ROWS
@@ -34,7 +33,7 @@ from ledgerwatch.operators.velocity import (
     watched_senders,
 )
 from ledgerwatch.schemas import VelocityRule
-from ledgerwatch.sources.lake import Lake
+from ledgerwatch.sources.lake import Lake, run_id
 from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow
 from ledgerwatch.workspace import stage, staged
 
@@ -120,15 +119,22 @@ def velocity_stream(
     )
 
 
+def refuse_known_future(lake: Lake, table: str, batch_id: int) -> None:
+    """Raise if the table holds later micro-batches: another checkpoint has written it."""
+    if any(run > run_id(batch_id) for run in lake.runs("silver", table)):
+        raise RuntimeError(f"{table} has micro-batches after {batch_id}: a new checkpoint needs a new table")
+
+
 def decision_sink(decisions: DataFrame, lake: Lake, table: str = "block_decisions") -> DataStreamWriter:
     """Writer that appends decisions to a lake table, once per micro-batch.
 
     A replayed micro-batch replaces its own folder, so no decision is doubled. The
     folders are numbered as the checkpoint numbers its micro-batches: a query that
-    starts from a new checkpoint needs a new table.
+    starts from a new checkpoint needs a new table, and is refused an old one.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        refuse_known_future(lake, table, batch_id)
         lake.write(batch, "silver", table, batch_id)
 
     return decisions.writeStream.outputMode("append").foreachBatch(write)
@@ -147,25 +153,28 @@ def start_velocity_job(
     """Writer that decides every micro-batch with distributed sliding counts.
 
     Decisions go to ``silver/<table>``. The candidates that later events can still
-    see go to ``silver/<table>_tail``: those of the window before the newest event,
-    and of ``lateness`` more, within which late events get their full count. As for
+    see go to ``silver/<table>_tail``: for each sender those of the window before its newest
+    event, and of ``lateness`` more, within which late events get their full count. As for
     :func:`decision_sink`, a new checkpoint needs a new ``table``.
     """
     lookup = start_lookup(customers, rule).withColumnRenamed("sender_iban", "iban")
     keep = timedelta(minutes=rule.window_minutes) + lateness
 
     def decide(batch: DataFrame, batch_id: int) -> None:
+        refuse_known_future(lake, table, batch_id)
         fresh = velocity_candidates(batch, lookup, rule, arrival).withColumn("fresh", F.lit(True))
         tail = lake.read("silver", f"{table}_tail", before=batch_id)
         if tail is not None:
             fresh = fresh.unionByName(tail.withColumn("fresh", F.lit(False)))
         with staged(fresh, "velocity") as (rows, n_rows):
             counted = velocity_counts(rows, rule, hot_rows, n_rows).filter("fresh")
-            lake.write(blocks_from_counts(counted, rule), "silver", table, batch_id)
-            newest = rows.agg(F.max("executed_at")).first()[0]
-            if newest is not None:
-                rows = rows.filter(F.col("executed_at") > timestamp_ntz(newest - keep))
-            lake.write(rows.drop("fresh"), "silver", f"{table}_tail", batch_id)
+            decided = blocks_from_counts(counted, rule, F.col("executed_at").alias("decided_at"))
+            lake.write(decided, "silver", table, batch_id)
+            # By each sender's own newest event: a wrong clock can't shorten the others' windows.
+            newest = rows.groupBy(F.col("sender_iban").alias("sender")).agg(F.max("executed_at").alias("newest"))
+            seen = rows.join(newest, F.col("sender_iban") == F.col("sender"))
+            seen = seen.filter(F.col("executed_at") > F.col("newest") - F.lit(keep))
+            lake.write(seen.drop("fresh", "sender", "newest"), "silver", f"{table}_tail", batch_id)
         # A replay of this micro-batch needs the tail before it.
         lake.keep_newest("silver", f"{table}_tail", 3)
 

@@ -378,7 +378,7 @@ def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = live.start_velocity_job(feed, bank.raw_customers(spark, sf_dir), lake)
     checkpoint = new_folder(spark, "velocity-checkpoint")
     job.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return lake.read_all("silver", "block_decisions")
+    return lake.read_all("silver", "block_decisions").drop("decided_at")
 
 
 # Customer history

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ledgerwatch.operators.marts import ROLLING
 from ledgerwatch.operators.quality import QualityError
 from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.plans import batch
+from ledgerwatch.plans.batch import customer_history, update_customer_history
 from ledgerwatch.sources import exports
 from ledgerwatch.sources.lake import Lake
 from testbed import bank
@@ -107,3 +108,35 @@ def test_live_feed_is_a_top_k(spark):
     feed = kpis.live_feed(bank.raw_transactions(spark, SMALL), rows=5)
     assert feed.count() == 5
     assert "TakeOrderedAndProject" in feed._jdf.queryExecution().executedPlan().toString()
+
+
+def history_run(lake, tier, run_ts):
+    columns = "customer_id string, first_name string, last_name string, email string, phone_number string, iban string, address string, city string, country string, risk_tier string, created_at timestamp_ntz, ingested_at timestamp_ntz"
+    row = ("C1", "f", "l", "e", "p", "FR7612345678901234567890123", "a", "c", "FR", tier, run_ts, run_ts)
+    update_customer_history(lake, lake.spark.createDataFrame([row], columns), "k-test", run_ts)
+
+
+def test_a_retried_run_replaces_what_it_closed(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    first, second = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    history_run(lake, "LOW", first)
+    history_run(lake, "PEP", second)
+    assert customer_history(lake).count() == 2
+    history_run(lake, "LOW", second)
+    assert [r.valid_to for r in customer_history(lake).collect()] == [None]
+
+
+def test_a_run_that_breaks_off_leaves_the_history_as_it_was(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    history_run(lake, "LOW", datetime(2024, 1, 1))
+    write = Lake.write
+
+    def break_off(self, df, layer, table, run):
+        if table == batch.OPEN_VERSIONS:
+            raise OSError("lost")
+        return write(self, df, layer, table, run)
+
+    monkeypatch.setattr(Lake, "write", break_off)
+    with pytest.raises(OSError):
+        history_run(lake, "PEP", datetime(2024, 1, 2))
+    assert [r.valid_to for r in customer_history(lake).collect()] == [None]

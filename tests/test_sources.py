@@ -238,3 +238,11 @@ def test_old_versions_can_be_deleted(spark, tmp_path):
     lake.keep_newest("silver", "tail", 2)
     assert lake.runs("silver", "tail") == ["000000000002", "000000000003"]
     assert lake.read("silver", "tail", before=3).count() == 2
+
+
+def test_settlements_without_id_are_kept_apart(spark, tmp_path):
+    folder = f"{tmp_path}/settlements"
+    write_file(spark, folder, "2024-01-01", [payment(None), payment(None), payment("a")])
+    write_file(spark, folder, "2024-01-02", [payment(None), payment("a", "2,00")])
+    rows = bronze.load_settlements(spark, folder, RUN).collect()
+    assert sorted(r.transaction_id or "" for r in rows) == ["", "", "", "a"]

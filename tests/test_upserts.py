@@ -94,3 +94,17 @@ def test_block_decisions(spark):
         "t3": ("BLOCKED", "again"),
         "t4": ("PENDING", None),
     }
+
+
+@pytest.mark.parametrize("keys", [[["a"]], [["a"], ["b"]]])
+def test_null_keys_conflict_with_nothing(spark, keys):
+    target = spark.createDataFrame([(None, "b0", "old", -1)], ROWS)
+    rows = [(None, None, "p", 0), (None, None, "p", 1), ("x", None, "p", 2), ("x", "b1", "p", 3), (None, "b2", "p", 4), ("y", "b3", "p", 5)]
+    added = absent_rows(target, spark.createDataFrame(rows, ROWS), keys, "arrival")
+    assert sorted(r.arrival for r in added.collect()) == [0, 1, 2, 4, 5]
+
+
+def test_no_endless_rounds_without_an_arrival(spark):
+    rows = spark.createDataFrame([("a", "b", "p", None), ("a", "c", "p", None)], ROWS)
+    with pytest.raises(ValueError):
+        absent_rows(rows.limit(0), rows, [["a"], ["b"]], "arrival").collect()

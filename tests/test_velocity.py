@@ -285,3 +285,27 @@ def test_lookup_is_broadcast_only_when_small(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         live.velocity_stream(frame(spark, []), customers(spark), mode="other")
+
+
+def test_a_wrong_clock_does_not_shorten_the_others_windows(spark, tmp_path):
+    folder, checkpoint = f"{tmp_path}/feed", f"{tmp_path}/checkpoint"
+    lake = Lake(spark, f"{tmp_path}/lake")
+
+    def run(rows):
+        land(spark, rows, folder)
+        feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
+        drain(live.start_velocity_job(feed, customers(spark), lake), checkpoint)
+
+    run([event(i, "pep", T0 + timedelta(minutes=i)) for i in range(4)] + [event(9, "high", T0 + timedelta(days=3000))])
+    run([event(10, "pep", T0 + timedelta(minutes=5))])
+    blocks = lake.read_all("silver", "block_decisions").collect()
+    assert [(r.event_count, r.decided_at) for r in blocks] == [(5, T0 + timedelta(minutes=5))]
+
+
+def test_a_new_checkpoint_is_refused_an_old_table(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    live.refuse_known_future(lake, "block_decisions", 0)
+    lake.write(spark.range(1), "silver", "block_decisions", 4)
+    live.refuse_known_future(lake, "block_decisions", 4)
+    with pytest.raises(RuntimeError):
+        live.refuse_known_future(lake, "block_decisions", 0)
