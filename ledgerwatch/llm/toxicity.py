@@ -8,6 +8,7 @@ often than others), the trees, and the calibration from the trees' score to a pr
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,7 @@ SECOND_PERSON = set("you your yours yourself u ur thou thee tu toi te ton ta tes
 _PLAIN = str.maketrans({"@": "a", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "!": "i"})
 _INNER = re.compile(r"(?<=\w)[^\w\s'’-]+(?=\w)|(?<=[a-z])[0-9]+(?=[a-z])")
 _LONG = re.compile(r"(.)\1{2,}")
+_MARKS = ".,;:!?\"'()[]{}<>|-_#*$%&@/\\"
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 FEATURES = ["lexicon", "beginnings", "weight", "top", "hits", "starts", "near_you", "you", "capitals", "shouted", "exclaims", "punctuation", "obfuscated", "length"]
 
@@ -82,36 +84,46 @@ class Features:
     REMEMBERED = 400_000
 
     def __init__(self, lexicon: dict[str, dict[str, float]]):
-        self.lexicon, self.memory, self.table = lexicon, {}, []
+        self.lexicon, self.memory, self.table = lexicon, {}, array("d")
 
     def _meet(self, raw: str) -> int:
-        word = plain_word(raw)
-        letters = [c for c in raw if c.isalpha()]
-        upper = sum(c.isupper() for c in letters)
-        core = _EDGE.sub("", raw)
-        self.table.append(
+        core = raw.strip(_MARKS)
+        if core.isalpha():  # most words: nothing to take apart
+            low = core.lower()
+            long = _LONG.search(low)
+            word = _LONG.sub(r"\1", low) if long else low
+            upper = 0 if low == core else sum(c.isupper() for c in core)
+            held, odd = len(core), bool(long)
+            marks, exclaims = len(raw) - held, raw.count("!") if held < len(raw) else 0
+        else:
+            word, core = plain_word(raw), _EDGE.sub("", raw).lower()
+            letters = [c for c in raw if c.isalpha()]
+            upper, held = sum(c.isupper() for c in letters), len(letters)
+            odd = bool(_INNER.search(core)) or bool(_LONG.search(core))
+            marks, exclaims = len(raw) - sum(c.isalnum() for c in raw), raw.count("!")
+        self.table.extend(
             (
                 self.lexicon["word"].get(word, 0.0),
                 self.lexicon["start"].get(word[:BEGINNING], 0.0) if len(word) > BEGINNING else 0.0,
                 word in SECOND_PERSON,
                 upper,
-                len(letters),
-                len(letters) > 2 and upper == len(letters),
-                raw.count("!"),
-                len(raw) - sum(c.isalnum() for c in raw),
-                bool(_INNER.search(core.lower())) or bool(_LONG.search(core.lower())),
+                held,
+                held > 2 and upper == held,
+                exclaims,
+                marks,
+                odd,
             )
         )
-        self.memory[raw] = len(self.table) - 1
+        self.memory[raw] = len(self.memory)
         return self.memory[raw]
 
     def of(self, texts: list[str]) -> np.ndarray:
         if len(self.memory) > self.REMEMBERED:
-            self.memory, self.table = {}, []
+            self.memory, self.table = {}, array("d")
         known, out = self.memory, np.zeros((len(texts), len(FEATURES)))
         split = [t.split() for t in texts]
         ids = [[known[w] if w in known else self._meet(w) for w in words] for words in split]
-        table = np.array(self.table, np.float64).reshape(-1, 9)
+        table = np.array(self.table).reshape(-1, 9)
         for i, (text, at) in enumerate(zip(texts, ids)):
             n = len(at)
             if not n:
