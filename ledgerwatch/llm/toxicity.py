@@ -123,7 +123,7 @@ class Features:
         known, out = self.memory, np.zeros((len(texts), len(FEATURES)))
         split = [t.split() for t in texts]
         ids = [[known[w] if w in known else self._meet(w) for w in words] for words in split]
-        table = np.array(self.table).reshape(-1, 9)
+        table = np.frombuffer(self.table).reshape(-1, 9)
         for i, (text, at) in enumerate(zip(texts, ids)):
             n = len(at)
             if not n:
@@ -137,6 +137,7 @@ class Features:
                 (hit & near).mean(), you.mean(), upper.sum() / max(letters.sum(), 1), shouted.mean(),
                 exclaims.sum() / chars, marks.sum() / chars, odd.mean(), np.log1p(n),
             )
+        del table
         return out
 
 
@@ -172,13 +173,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict, object, object]:
     chosen = usable.orderBy(F.xxhash64("id"), "id").limit(MAX_TRAINING)
     rows = docs.join(chosen.withColumnRenamed("id", "labelled"), docs.id == F.col("labelled")).select("id", "text", "toxic")
     rows = stage(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(4))), "toxic-training")
-    lexicon = learn_lexicon(rows.where("part < 2"))
-    table = featured(rows.where("part > 1"), lexicon, "part long, toxic long")
+    lexicon = learn_lexicon(rows.where("part = 0"))
+    table = featured(rows.where("part > 0"), lexicon, "part long, toxic long")
     table = stage(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select("part", "toxic", "features"), "toxic-features")
     table = table.coalesce(4)
     if table.select("toxic").distinct().count() < 2:
         return lexicon, None, None
-    trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(table.where("part = 2"))
+    trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(table.where("part < 3"))
     judged = trees.transform(table.where("part = 3")).select(F.col("toxic").cast("double").alias("toxic"), vector_to_array("probability")[1].alias("raw"))
     scale = IsotonicRegression(labelCol="toxic", featuresCol="raw", predictionCol="score").fit(judged)
     return lexicon, trees, scale
