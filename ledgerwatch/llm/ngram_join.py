@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import blocks as B
-from ledgerwatch.llm.components import components
+from ledgerwatch.llm.components import components, contracted, least_linked
 from ledgerwatch.workspace import stage, stage_counted
 
 WORDS, PERCENT = 5, 80
 #: Rounds of comparing with leaders, at most; fewer once the pairs that are left are few.
 TURNS = 6
+#: Star steps on the links after a round. Labels may then be finer than components, never coarser.
+STEPS = 2
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -197,8 +199,8 @@ def linked_documents(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (``id``, ``n``, ``sig``), classes (``sig``, ``id``, ``n``) and links between classes (``a``, ``b``).
 
-    Documents with equal shingle sets are a class. Links join classes at Jaccard
-    ``percent`` or more; their components are those of all such pairs.
+    Documents with equal shingle sets are a class. The components of the links are those of
+    all pairs of classes at Jaccard ``percent`` or more; some links are paths of such pairs.
     """
     spark = docs.sparkSession
     text: Column = F.coalesce(docs[text_col].cast("string"), F.lit(""))
@@ -225,8 +227,8 @@ def linked_documents(
         pairs = x.join(y, F.expr("x.token = y.token and x.label <> y.label") & close)
         pairs = pairs.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
         more = _linked(pairs, sets, percent)
-        links = stage(more if links is None else links.unionByName(more), "links")
-        roots = components(links).withColumnRenamed("node", "who")
+        links = contracted(more if links is None else links.unionByName(more), STEPS)
+        roots = least_linked(links).withColumnRenamed("node", "who")
         marks = marks.drop("label").join(roots, F.col("sig") == F.col("who"), "left")
         marks = marks.select("sig", "n", "token", F.coalesce("root", "sig").alias("label"))
         held = marks.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
