@@ -7,10 +7,11 @@
    common order of all shingles. Three orders are used, all with rare shingles first, with
    ties broken by different hashes. The first gives candidates; they stay if they share a
    prefix shingle under the second and the third order too; the rest are compared exactly.
+   A shared shingle counts only where enough shingles follow it in both for the threshold.
 3. A group of documents with one prefix shingle is not expanded into pairs: those that are not
-   yet connected with its leader are compared with it, in rounds with other leaders, until the
-   pairs of unconnected documents are no more than the documents in the groups. Only those are
-   compared one by one. Components of the links found are those of all links.
+   yet connected with its leader are compared with it, in rounds with other leaders, while a
+   round takes away a quarter of the pairs of unconnected documents and they are more than the
+   documents in the groups. Only the pairs left are compared one by one. Components of the links found are those of all links.
 """
 
 from __future__ import annotations
@@ -214,14 +215,20 @@ def linked_documents(
         least, *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "codes", "one", "two", "three")]
     )
     sets = stage(sets, "classes")
-    tokens = stage(sets.select("sig", "n", F.explode("one").alias("token")), "prefixes")
-    close = F.expr(f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}")
+    # A pair's first common token bounds what it has in common by what follows on either side.
+    need = F.ceil(F.col("n") * percent / 100)
+    tokens = sets.select("sig", "n", (need + F.size("one") - 1).alias("whole"), F.posexplode("one").alias("k", "token"))
+    tokens = stage(tokens.select("sig", "n", (F.col("whole") - F.col("k")).alias("most"), "token"), "prefixes")
+    close = F.expr(
+        f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
+        f" and least(x.most, y.most) * (100 + {percent}) >= {percent} * (x.n + y.n)"
+    )
     marks = tokens.withColumn("label", F.col("sig"))
-    links = None
+    links, before = None, float("inf")
     for turn in range(TURNS):
         # First one leader for all groups a document is in, then others for each of them.
         draw = F.xxhash64("sig", *([F.lit(turn), F.col("token")] if turn else []))
-        rank = F.struct(draw.alias("r"), "sig", "n", "label")
+        rank = F.struct(draw.alias("r"), "sig", "n", "most", "label")
         leaders = marks.groupBy("token").agg(F.min(rank).alias("leader")).select("token", "leader.*")
         x, y = marks.alias("x"), leaders.alias("y")
         pairs = x.join(y, F.expr("x.token = y.token and x.label <> y.label") & close)
@@ -230,12 +237,14 @@ def linked_documents(
         links = contracted(more if links is None else links.unionByName(more), STEPS)
         roots = least_linked(links).withColumnRenamed("node", "who")
         marks = marks.drop("label").join(roots, F.col("sig") == F.col("who"), "left")
-        marks = marks.select("sig", "n", "token", F.coalesce("root", "sig").alias("label"))
+        marks = marks.select("sig", "n", "most", "token", F.coalesce("root", "sig").alias("label"))
         held = marks.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
         held = stage(held.where("all * all > same").select(F.col("token").alias("t"), ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")), "mixed")
         marks, left = stage_counted(marks.join(held, marks.token == held.t, "left_semi"), "prefixes")
-        if (held.agg(F.sum("pairs")).first()[0] or 0) <= left:
+        now = held.agg(F.sum("pairs")).first()[0] or 0
+        if now <= left or now > 0.75 * before:
             break
+        before = now
     x, y = marks.alias("x"), marks.alias("y")
     rest = x.join(y, F.expr("x.token = y.token and x.sig < y.sig and x.label <> y.label") & close)
     rest = rest.select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
