@@ -21,20 +21,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
 
 
 def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS
+    df: DataFrame, key: str, min_rows: int = HOT_ROWS, limit: int | None = None
 ) -> DataFrame:
-    """The at most ``limit`` largest keys that have ``min_rows`` rows or more.
-
-    ``limit`` bounds what gets broadcast. A key beyond it holds less than
-    1 / ``limit`` of the rows and is served by the plain window.
-    """
+    """The keys that have ``min_rows`` rows or more; only the ``limit`` largest, if that is given."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = counts.filter(F.col("_rows") >= min_rows).orderBy(F.desc("_rows"), key)
-    return largest.limit(limit).select(key)
+    largest = counts.filter(F.col("_rows") >= min_rows)
+    if limit is not None:
+        largest = largest.orderBy(F.desc("_rows"), key).limit(limit)
+    return largest.select(key)
 
 
 def _interval_sql(span: timedelta) -> str:
@@ -67,7 +64,8 @@ def sliding_totals(
     columns = [*df.columns, *measures]
     if rows is not None and rows < hot_rows:
         return _by_key(df, key, at, measures, leaves_after, tie_break).select(*columns)
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
+    # All of them, so no hint: Spark broadcasts the list if it is small, and else splits the hot side.
+    hot = hot_keys(df, key, hot_rows)
     few = df.join(hot, key, "left_anti")
     many = df.join(hot, key, "left_semi")
     plain = _by_key(few, key, at, measures, leaves_after, tie_break)
