@@ -97,8 +97,9 @@ def mix(
     ties = last.groupBy("from", "rank").agg(F.sum("size").alias("size"), F.max("left").alias("left"))
     run = Window.partitionBy("from").orderBy("rank")
     ties = ties.select("*", F.sum("size").over(run).alias("upto"))
-    # Nearer with than without; what lies before the cut's interval is taken anyway.
-    good = ties.where(F.abs(F.col("upto") - F.col("left")) <= F.abs(F.col("upto") - F.col("size") - F.col("left")))
+    # Nearer with than without; what lies before the cut's interval is taken anyway. Up to the
+    # target that holds for a first run of ranks only, so an empty text beyond it moves no cut.
+    good = ties.where(2 * F.col("upto") - F.col("size") <= 2 * F.col("left"))
     cut = good.groupBy(F.col("from").alias("source")).agg(F.max("rank").alias("cut"))
     edge = second.select("source", (F.col("fine") / float(BINS * BINS)).alias("edge")).alias("e").join(cut.alias("c"), F.expr("e.source <=> c.source"), "left")
     edge = edge.select("e.source", F.coalesce("cut", F.lit(-1.0)).alias("cut"), "edge")
