@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
-    cap_filters, html_extraction, lookup_sharding, mixing, ngram_join, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
+    cap_filters, html_extraction, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
 )
 
 #: Folder of the public vocabulary files, the same on every machine.
@@ -112,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_cap_filters": op10_cap_filters,
 }
-ORACLES: dict[str, str] = {}
+#: The queries that SQL can express.
+ORACLES: dict[str, str] = oracles.ORACLES
