@@ -95,13 +95,17 @@ def live_feed(
 ) -> DataFrame:
     """The latest transactions: a top-k, which keeps ``rows`` rows per task.
 
-    Block ``decisions`` are laid over the chosen rows, not over the whole table.
+    Block ``decisions`` are laid over the chosen rows, not over the whole table, and
+    only those on the chosen rows are ranked.
     """
     newest_first = [F.desc("executed_at"), F.desc("transaction_id")]
     latest = transactions.orderBy(*newest_first).limit(rows)
     if decisions is None:
         return latest
-    return apply_block_decisions(latest, decisions).orderBy(*newest_first)
+    # Broadcast: ``rows`` ids, whatever the tables hold.
+    ids = F.broadcast(latest.select("transaction_id"))
+    wanted = decisions.join(ids, "transaction_id", "left_semi")
+    return apply_block_decisions(latest, wanted).orderBy(*newest_first)
 
 
 def blocked_count(transactions: DataFrame) -> DataFrame:

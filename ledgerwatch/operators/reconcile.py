@@ -67,9 +67,9 @@ def reconcile_raw(
 ) -> DataFrame:
     """Same result as :func:`reconcile` over the staged inputs, straight from bronze.
 
-    Masking and parsing run after the join. That shuffles the short raw texts in
-    place of the 64-character hashes, and hashes each reconciled row once instead
-    of once per side.
+    Masking runs after the join. That shuffles the short raw texts in place of the
+    64-character hashes, and hashes each reconciled row once instead of once per side.
+    Amounts are parsed before it, each side for itself, as the staged inputs are.
     """
     raw_live_first = [
         "transaction_id",
@@ -79,11 +79,13 @@ def reconcile_raw(
         "payment_channel",
         "executed_at",
     ]
-    joined = _full_outer(transactions, settlements, raw_live_first, "amount")
+    parsed = {"amount_eur": parse_eu_amount(F.col("amount"), strict)}
+    joined = _full_outer(
+        transactions.withColumns(parsed), settlements.withColumns(parsed), raw_live_first, "amount_eur"
+    )
     return joined.select(
         "*",
         *masked_iban("sender_iban", key),
         *masked_iban("beneficiary_iban", key),
-        parse_eu_amount(F.col("amount"), strict).alias("amount_eur"),
         is_cross_border(F.col("beneficiary_iban")).alias("is_cross_border"),
     ).select(*COLUMNS)

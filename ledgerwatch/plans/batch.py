@@ -22,6 +22,7 @@ from ledgerwatch.operators.snapshots import (
     snapshot_source,
 )
 from ledgerwatch.operators.staging import stage_customers, stage_payments
+from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.plans import declared
 from ledgerwatch.schemas import CrossBorderRule
 from ledgerwatch.sources.bronze import extract_to_bronze, settlements_to_bronze
@@ -36,12 +37,17 @@ CLOSED_VERSIONS = "snap_customers_closed"
 
 @dataclass(frozen=True)
 class Sources:
-    """Where a run reads from."""
+    """Where a run reads from.
+
+    ``decisions`` are the stream's blocks, as the velocity job writes them; they are
+    laid over the transactions before these are loaded.
+    """
 
     customers: DataFrame
     transactions: DataFrame
     settlement_folder: str
     settlement_mode: str = "merge_latest"
+    decisions: DataFrame | None = None
 
 
 def staging_views(lake: Lake, key: str) -> dict[str, DataFrame]:
@@ -104,19 +110,28 @@ def run_batch(
     run_ts: datetime,
     rule: CrossBorderRule = CrossBorderRule(),
     check: bool = True,
+    versions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Run the whole pipeline into ``lake`` and return its gold tables.
 
+    ``versions`` is the number of newest bronze and silver versions that are kept once
+    the run is through, None for all. Gold tables and the history are never pruned.
+
     A check that fails raises and stops the run before the next layer. Running the
     same ``run_ts`` again gives the same tables, and unchanged customers add no
     versions.
     """
+    if versions is not None and versions < 1:
+        raise ValueError("at least one version is kept")
+    live = sources.transactions
+    if sources.decisions is not None:
+        live = apply_block_decisions(live, sources.decisions)
     settlements, customers, transactions = _together(
         lambda: settlements_to_bronze(
             lake, sources.settlement_folder, run_ts, sources.settlement_mode
         ),
         lambda: extract_to_bronze(sources.customers, lake, "raw_customers", run_ts),
-        lambda: extract_to_bronze(sources.transactions, lake, "raw_transactions", run_ts),
+        lambda: extract_to_bronze(live, lake, "raw_transactions", run_ts),
     )
     views = staging_views(lake, key)
     register_views(views)
@@ -151,6 +166,10 @@ def run_batch(
         write_alerts,
         lambda: update_customer_history(lake, customers, key, run_ts),
     )
+    if versions is not None:
+        for name in ("raw_customers", "raw_transactions", "raw_settlements"):
+            lake.keep_newest("bronze", name, versions)
+        lake.keep_newest("silver", RECONCILED, versions)
     return {
         "fct_transactions": facts,
         "fct_daily_aml_alerts": alerts,

@@ -24,14 +24,17 @@ CUSTOMER_DOMAINS = {"risk_tier": RISK_TIERS}
 TRANSACTION_DOMAINS = {"payment_channel": PAYMENT_CHANNELS, "status": STATUSES}
 
 
-def decode_events(events: DataFrame, value: str = "value") -> DataFrame:
+def decode_events(events: DataFrame, value: str = "value", payload: str | None = None) -> DataFrame:
     """Transaction columns from JSON text; other columns are kept.
 
     Broken JSON gives NULL columns, which validation then reports. The event time
-    stays text. ``inline`` keeps the optimizer from copying the parser into every
+    stays text. ``payload`` names a column for the text as it came, so that a
+    quarantined record can be read and sent again. ``inline`` keeps the optimizer from copying the parser into every
     expression above, where it would run once per column.
     """
-    kept = [name for name in events.columns if name != value]
+    kept = [F.col(name) for name in events.columns if name != value]
+    if payload is not None:
+        kept.append(F.col(value).cast("string").alias(payload))
     parsed = F.from_json(F.col(value).cast("string"), TRANSACTION_EVENT)
     return events.select(*kept, F.inline(F.array(parsed)))
 
@@ -84,7 +87,11 @@ def validate_records(
     domains: Mapping[str, Sequence[str]],
     times: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """Split into valid records, and a quarantine with the reason. Nothing is dropped."""
+    """Split into valid records, and a quarantine with the reason.
+
+    No record is dropped. A time that cannot be read is NULL in the quarantine, and
+    broken JSON is all NULL: decode with a ``payload`` column to keep their text.
+    """
     flagged = flag_records(df, required, domains, times)
     valid = flagged.filter(F.col("reason") == "").drop("reason")
     return valid, flagged.filter(F.col("reason") != "")

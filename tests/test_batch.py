@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,6 +13,7 @@ from ledgerwatch.operators.quality import QualityError
 from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.plans import batch
 from ledgerwatch.plans.batch import customer_history, update_customer_history
+from ledgerwatch.schemas import BLOCK_DECISIONS
 from ledgerwatch.sources import exports
 from ledgerwatch.sources.lake import Lake
 from testbed import bank
@@ -79,6 +81,25 @@ def test_blocks_reach_the_marts_in_the_next_run(spark, tmp_path):
     assert kpis.velocity_alerts(decided).count() == 3
 
 
+def test_decisions_of_the_stream_are_laid_over_and_old_versions_go(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    given = sources(spark, f"{tmp_path}/settlements")
+    ids = [r.transaction_id for r in given.transactions.filter("status = 'PENDING'").orderBy("transaction_id").limit(3).collect()]
+    rows = [(i, "VELOCITY_RULE: a reason", bank.RUN_TS) for i in [*ids, "unknown"]]
+    lake.write(spark.createDataFrame(rows, BLOCK_DECISIONS), "silver", "block_decisions", 0)
+    blocked = replace(given, decisions=lake.read_all("silver", "block_decisions"))
+    for later in range(3):
+        run_ts = bank.RUN_TS + timedelta(minutes=30 * later)
+        facts = batch.run_batch(lake, blocked, bank.KEY, run_ts, versions=2)["fct_transactions"]
+    found = facts.filter(F.col("transaction_id").isin(ids)).select("final_status", "blocked_reason").collect()
+    assert found == [("BLOCKED", "VELOCITY_RULE: a reason")] * 3
+    assert facts.count() == 997
+    kept = [("bronze", "raw_customers"), ("bronze", "raw_transactions"), ("bronze", "raw_settlements"), ("silver", batch.RECONCILED)]
+    assert [len(lake.runs(*table)) for table in kept] == [2] * 4
+    assert len(lake.runs("gold", "fct_transactions")) == 3 and len(lake.runs("silver", "block_decisions")) == 1
+    assert customer_history(lake).count() == 138
+
+
 def test_failed_check_stops_the_run_before_gold(spark, tmp_path):
     lake = Lake(spark, f"{tmp_path}/lake")
     given = sources(spark, f"{tmp_path}/settlements")

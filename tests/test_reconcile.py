@@ -104,3 +104,21 @@ def test_staging_drops_raw_ibans(sides):
     assert len(columns) == 13
     assert not {"sender_iban", "beneficiary_iban", "amount"} & set(columns)
     assert set(TRANSACTION_COLUMNS) & set(columns)
+
+
+def test_bad_amounts_of_either_side(spark):
+    live = [row("a", "12,50", "PENDING"), row("b", "abc", "PENDING"), row("c", "abc", "PENDING")]
+    settled = [row("a", "abc", "SETTLED"), row("b", "7,00", "SETTLED")]
+    live = spark.createDataFrame(live, RAW.format("ingested_at"))
+    settled = spark.createDataFrame(settled, RAW.format("loaded_at"))
+
+    def both_ways(live, settled, strict):
+        staged = stage_payments(live, KEY, strict=strict), stage_payments(settled, KEY, "loaded_at", strict=strict)
+        return [reconcile(*staged), reconcile_raw(live, settled, KEY, strict)]
+
+    for result in both_ways(live, settled, False):
+        found = {r.transaction_id: r.amount_eur for r in result.collect()}
+        assert found == {"a": Decimal("12.50"), "b": Decimal("7.00"), "c": None}
+    for result in both_ways(live.filter("transaction_id = 'b'"), settled.filter("transaction_id = 'b'"), True):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            result.collect()

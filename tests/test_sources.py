@@ -204,6 +204,15 @@ def test_validation_reasons_and_defaults(spark):
     assert reasons[2].startswith("missing transaction_id; missing sender_iban")
 
 
+def test_quarantine_keeps_the_payload(spark):
+    bodies = ["{broken", '{"transaction_id":"two","executed_at":"soon"}', None]
+    feed = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "arrival int, value string")
+    _, quarantine = records.validate_records(
+        records.decode_events(feed, payload="payload"), TRANSACTION_REQUIRED, records.TRANSACTION_DOMAINS, ["executed_at"]
+    )
+    assert {r.arrival: r.payload for r in quarantine.collect()} == dict(enumerate(bodies))
+
+
 def test_customer_defaults(spark):
     frame = spark.createDataFrame([("a",)], "customer_id string")
     assert records.with_defaults(frame, records.CUSTOMER_DEFAULTS).first().country == "FR"
