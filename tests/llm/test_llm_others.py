@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -84,6 +85,25 @@ def test_host_boilerplate(spark):
     assert out[0] == out[11] == "story number 0 of the day is about x"
 
 
+def test_copies_do_not_fill_a_block(spark, monkeypatch):
+    """A third of the unmarked rows are copies of one page; no group holds them together."""
+    apply, groups = GroupedData.applyInArrow, []
+
+    def spy(self, func, schema):
+        if "blocks" in self._df.columns:
+            groups.append(self._df.groupBy("block").count().agg(F.max("count")).first()[0])
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", spy)
+    rows = [(i, "http://h.org/", f"<p>text {i} alone</p>") for i in range(200)] + [(i, "http://h.org/", "<p>one page</p>") for i in range(200, 300)]
+    rows += [rows[-1], (None, None, "<p>one page</p>"), (None, None, None)]
+    out = html_extraction.main_text(queries.workers_import(spark).createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = Counter((i, u, (h or "")[3:-4]) for i, u, h in rows)
+    assert Counter(tuple(r) for r in out) == want
+    print("largest group", groups)
+    assert groups and max(groups) < 40
+
+
 def test_suffix_ranks():
     tokens = np.array([1, 2, 3, 1, 2, 3, 9, 1, 2, 3], np.uint64)
     stops = np.array([6] * 6 + [10] * 4)
