@@ -85,6 +85,38 @@ def test_host_boilerplate(spark):
     assert out[0] == out[11] == "story number 0 of the day is about x"
 
 
+def test_near_copies_and_quotes_on_unmarked_pages(spark):
+    """Near copies keep their paragraphs, quoted paragraphs stay, and what all pages hold goes."""
+    rng = np.random.default_rng(11)
+    words = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+    menu, foot = words(25), words(12)
+    page = lambda *ps: f"<div>{menu}</div>" + "".join(f"<p>{p}</p>" for p in ps) + f"<div>{foot}</div>"
+    texts: list[tuple[str, list[str]]] = []
+    article = [words(30) for _ in range(4)]
+    for i in range(10):  # near copies, most of the host's pages: one word changed
+        paragraphs = [p.split() for p in article]
+        paragraphs[i % 4][i + 3] = f"changed{i}"
+        texts.append(("http://near.org/", [" ".join(p) for p in paragraphs]))
+    texts += [("http://near.org/", [words(40), words(20)]) for _ in range(4)]
+    quoted = words(20)
+    texts += [("http://quote.org/", [words(30), quoted]), ("http://quote.org/", [quoted, words(25), words(15)])]
+    texts += [("http://quote.org/", [words(45)]) for _ in range(6)]
+    for _ in range(5):  # each story twice, for print with one word more
+        story = [words(30), words(30)]
+        texts += [("http://print.org/", story), ("http://print.org/", [story[0], story[1] + " printed"])]
+    rows = [(i, u, page(*ps)) for i, (u, ps) in enumerate(texts)]
+    want = {i: " ".join(ps) for i, (_, ps) in enumerate(texts)}
+    # Two near copies and a quote among two pages, alone on their hosts: all of it is kept.
+    alone = [("http://two.org/", article), ("http://two.org/", [*article[:3], article[3] + " more"]), ("http://pair.org/", [quoted, words(30)]), ("http://pair.org/", [words(30), quoted])]
+    rows += [(100 + i, u, page(*ps)) for i, (u, ps) in enumerate(alone)]
+    want |= {100 + i: " ".join([menu, *ps, foot]) for i, (_, ps) in enumerate(alone)}
+    df = queries.workers_import(spark).createDataFrame(rows, "page_id long, url string, html string")
+    out = {r["id"]: r["text"] for r in html_extraction.main_text(df).collect()}
+    wrong = sorted(i for i in want if out[i] != want[i])
+    print("wrong", len(wrong), "of", len(want), "words", sum(len(out[i].split()) for i in want), "of", sum(len(t.split()) for t in want.values()))
+    assert not wrong and len(out) == len(want)
+
+
 def test_copies_do_not_fill_a_block(spark, monkeypatch):
     """A third of the unmarked rows are copies of one page; no group holds them together."""
     apply, groups = GroupedData.applyInArrow, []
