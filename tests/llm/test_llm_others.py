@@ -85,6 +85,36 @@ def test_host_boilerplate(spark):
     assert out[0] == out[11] == "story number 0 of the day is about x"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Names of wrappers, around marked and unmarked text.
+        ("<div class='layout has-sidebar'><article>story</article></div>", "story"),
+        ("<div class='content-sidebar-wrap'><article>story</article><div class='sidebar'>side</div></div>", "story"),
+        ("<div id='page' class='no-comments'><article>story</article></div>", "story"),
+        ("<div class='sidebar'><div class='post-content'>story</div></div><nav>menu</nav>", "story"),
+        ("<div class='page has-sidebar'><p>story</p><div id='sidebar'>side</div></div>", "story"),
+        ("<body class='comments'><div class='banner'><main>story</main></div><article>one card that is longer</article>", "story one card that is longer"),
+        # Parts of an article about what also names a box.
+        ("<article><p>one</p><section id='social'><h2>Social</h2><p>two</p></section><section class='related-work'><p>three</p></section></article>", "one Social two three"),
+        ("<article><p>one</p><section class='share'><p>shares rose by <a href=x>two</a> per cent</p></section><div class='alert'>the earlier version was wrong here</div></article>", "one shares rose by two per cent the earlier version was wrong here"),
+        # Boxes still go.
+        ("<article><p>one</p><div class='share'><a>mail</a> <a>print</a></div><ul class='related'><li><a>other story</a></ul><div class='comment-list'><p>me</p></div><div class='siteFooter'>f</div></article>", "one"),
+        ("<article>a story of five words<div class='related'><article>a card</article></div></article>", "a story of five words"),
+        ("<article>story of some length</article><section id=comments><article class='comment'>a reply that is longer than that</article></section>", "story of some length"),
+        # Cards beside the region that holds the text.
+        ("<main><h1>T</h1><p>the story is told in main</p></main><article class='card'>a card</article>", "T the story is told in main"),
+        ("<article class='card'>a card</article><div class='story-body'>the story is told here</div>", "the story is told here"),
+        ("<main><div class='article-body'>the story is told here</div><article>a card</article></main>", "the story is told here"),
+        ("<main><p>the story is told in main</p><article>with a part in an article</article><p>and goes on</p></main>", "the story is told in main with a part in an article and goes on"),
+        ("<main>title</main><article>the story is longer than the title</article>", "title the story is longer than the title"),
+        ("<article><h1>T</h1><div class='article-body'>story</div><p>end</p></article>", "T story end"),
+    ],
+)
+def test_names_and_regions(page, text):
+    assert " ".join(html_extraction.page_blocks(page)[0]) == text
+
+
 def test_near_copies_and_quotes_on_unmarked_pages(spark):
     """Near copies keep their paragraphs, quoted paragraphs stay, and what all pages hold goes."""
     rng = np.random.default_rng(11)
