@@ -25,13 +25,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Texts without the 50-byte strings of earlier documents.
 
     Cuts are by bytes; what is left of a character that was cut through is dropped.
+    Replacement characters of the documents themselves stay.
     """
     workers_import(spark)
-    out = suffix_dedup.remove_repeats(docs)
-    text = F.try_validate_utf8(F.col("kept").cast("string"))
-    # Cut characters are rare: only those texts are repaired.
-    broken = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    text = F.coalesce(text, broken)
+    out = suffix_dedup.remove_repeats(docs, characters=True)
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
     row = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("text", "n_chars")]
     out = out.select(*row, text.alias("text"))
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)

@@ -390,7 +390,15 @@ def _spans(data, offsets, ids, answers: pa.Table, length: int, buckets: int) ->
     return np.cumsum(edge[:-1]) > 0
 
 
-def _remove(length: int, buckets: int, out: pa.Schema):
+def cut_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` widened to all bytes of each UTF-8 character that it cuts through."""
+    character = np.cumsum((text & 0xC0) != 0x80)
+    cut = np.zeros(int(character[-1]) + 1, bool)
+    cut[character[gone]] = True
+    return cut[character]
+
+
+def _remove(length: int, buckets: int, out: pa.Schema, characters: bool):
     @B.frugal
     def run(key: tuple[pa.Scalar, ...], docs: pa.Table, answers: pa.Table) -> pa.Table:
         data, offsets = B.utf8(docs["text"])
@@ -403,18 +411,20 @@ def _remove(length: int, buckets: int, out: pa.Schema):
                 continue
             edges = np.flatnonzero(np.diff(np.r_[False, gone[lo:hi], False])).reshape(-1, 2)
             spans.append([{"begin": b, "end": e} for b, e in edges.tolist()])
-            kept.append(data[lo:hi][~gone[lo:hi]].tobytes())
+            left = ~(cut_characters(data[lo:hi], gone[lo:hi]) if characters else gone[lo:hi])
+            kept.append(data[lo:hi][left].tobytes())
         columns = [docs["row"].combine_chunks().cast(out.field("row").type), pa.array(np.diff(offsets)), pa.array(spans, out.field("spans").type), pa.array(kept, pa.binary())]
         return pa.Table.from_arrays(columns, schema=out)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, characters: bool = False) -> DataFrame:
     """Every row of ``docs`` as struct ``row``, with what earlier documents do not hold.
 
     ``n_bytes``: bytes of the UTF-8 text; ``spans``: removed runs ``[begin, end)``;
-    ``kept``: the remaining bytes. A byte goes if a string of ``length`` bytes over it
+    ``kept``: the remaining bytes, with ``characters`` without what is left of a character
+    that a span cuts through. A byte goes if a string of ``length`` bytes over it
     also starts in a document with a smaller id. Null texts are empty; a null id counts as
     larger than all others; rows with equal ids never remove from each other, so repeated
     rows give equal results. Extra columns ride along in ``row``. No rows give no rows.
@@ -439,5 +449,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return blocks.groupBy("block").cogroup(known.unionByName(merged).groupBy("block")).applyInArrow(
-        _remove(length, buckets, to_arrow_schema(schema)), schema
+        _remove(length, buckets, to_arrow_schema(schema), characters), schema
     )

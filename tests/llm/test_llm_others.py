@@ -272,6 +272,19 @@ def test_toxicity_awkward(spark):
     assert toxicity.toxicity(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_cut_characters_in_the_pipeline(spark):
+    """Cuts through characters lose those characters alone; U+FFFD of a text stays."""
+    shared = "a passage that two documents hold, of more than fifty bytes in all"
+    other = "yet another passage that two of the documents hold, again of fifty bytes"
+    rows = [(1, f"one é{shared}è end ñ{other}"), (6, f"six \ufffd ±{other} tail\ufffd"), (2, f"two \ufffd©{shared}é tail\ufffd"), (3, f"three\U0001f600 \ufffd {shared}"), (4, "\ufffd alone"), (5, None)]
+    # 2: the second byte of © is that of é, the first of é that of è, so c2 and a9 are left and would join.
+    want = {1: rows[0][1], 2: "two \ufffd tail\ufffd", 3: "three\U0001f600 \ufffd ", 4: "\ufffd alone", 5: "", 6: "six \ufffd  tail\ufffd"}
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, source string, n_chars long")
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
+    print("texts", out)
+    assert out == {i: (t, len(t)) for i, t in want.items()}
+
+
 def test_pipeline(spark):
     docs = queries.table(spark, SMALL, "documents")
     columns, step = docs.columns, docs
