@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerwatch.llm.line_dedup import CHARACTERS, DOCUMENTS, LOWER, UPPER
 from ledgerwatch.llm.lookup_sharding import SHARDS, SLOTS, fill
 from ledgerwatch.llm.mixing import MOST_COPIES, SHARE, WEIGHTS
 from ledgerwatch.llm.quality_rules import HOST_LIMIT, MAX_PRIOR, MAX_REPEAT_PERCENT, MIN_WORDS
@@ -136,10 +137,32 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(first) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
 """
 
+#: A null id is one document, smaller than all others.
+LINE_DEDUP = f"""
+WITH given AS (
+    SELECT row_number() OVER () AS place, doc_id, coalesce(doc_id, -9223372036854775808) AS own, string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents
+), every AS (
+    SELECT place, own, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM given
+), keyed AS (
+    SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), '{UPPER}', '{LOWER}') AS key FROM every
+), often AS (
+    SELECT key, max(own) AS top FROM keyed WHERE length(key) >= {CHARACTERS} GROUP BY key HAVING count(DISTINCT own) >= {DOCUMENTS}
+), judged AS (
+    SELECT place, pos, line, top IS NOT NULL AND own <> top AS gone FROM keyed LEFT JOIN often USING (key)
+), left_over AS (
+    SELECT place, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept
+    FROM judged GROUP BY place
+)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM given JOIN left_over USING (place)
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op4_sharding": SHARDING,
     "op7_quality_rules": QUALITY,
     "op8_mixing": MIXING,
     "op9_ngram_join": NGRAM_JOIN,
+    "op12_line_dedup": LINE_DEDUP,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
-    cap_filters, html_extraction, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
+    cap_filters, html_extraction, line_dedup, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
 )
 
 #: Folder of the public vocabulary files, the same on every machine.
@@ -100,6 +100,13 @@ def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeated_lines(docs).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html_extraction": op2_html_extraction,
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
     "op10_cap_filters": op10_cap_filters,
+    "op12_line_dedup": op12_line_dedup,
 }
 #: The queries that SQL can express.
 ORACLES: dict[str, str] = oracles.ORACLES

@@ -15,7 +15,7 @@ def test_query_agrees_with_sql(spark, name):
     assert difference(queries.QUERIES[name](spark, SMALL), open_oracle(SMALL), queries.ORACLES[name]) == ""
 
 
-@pytest.mark.parametrize("name", ["op7_quality_rules", "op8_mixing", "op9_ngram_join"])
+@pytest.mark.parametrize("name", ["op7_quality_rules", "op8_mixing", "op9_ngram_join", "op12_line_dedup"])
 def test_awkward_rows_agree_with_sql(spark, name, tmp_path):
     """Null and empty texts and sources, equal texts, a size of zero, characters of several bytes."""
     texts = [None, "", " \n\t ", "a b c d", "a b c d", "A B C D", "é ü " * 30, "é ü " * 30, "one two\none two\n" * 9, "x " * 200]
