@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
-    cap_filters, html_extraction, line_dedup, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
+    alignment, cap_filters, html_extraction, line_dedup, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
 )
 
-#: Folder of the public vocabulary files, the same on every machine.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-PIECES = "piece_bpe_32k.model"
+PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 
 def model_path(name: str = PIECES) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Place of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def workers_import(spark: SparkSession) -> SparkSession:
@@ -107,6 +108,12 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.linked_counts(docs, model_path(BYTES), model_path(PIECES))
+    return found.select("row.doc_id", *alignment.COUNTS, "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_html_extraction": op2_html_extraction,
@@ -119,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_cap_filters": op10_cap_filters,
     "op12_line_dedup": op12_line_dedup,
+    "op13_alignment": op13_alignment,
 }
 #: The queries that SQL can express.
 ORACLES: dict[str, str] = oracles.ORACLES
