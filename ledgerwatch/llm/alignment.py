@@ -22,6 +22,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerwatch.llm import blocks as B
-from ledgerwatch.llm.sentencepiece_codec import MARK, codec
+from ledgerwatch.llm.sentencepiece_codec import MARK
 from ledgerwatch.workspace import stage
 
 #: Bytes of a document that one entry of the state vector walks over.
@@ -93,7 +94,8 @@ class ByteBpe:
             from public_tokenizers import PATTERN
 
             ranks = {entries[i]: i for t, i in model["vocab"].items() if t not in own}
-            self._encode = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            library = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._encode = lambda text: library.encode_to_numpy(text, disallowed_special=())
         else:
             from tokenizers import Tokenizer
 
@@ -103,20 +105,34 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a space and each text, and ids per text; an empty text has none."""
-        found = [self._encode(" " + t) if t else [] for t in texts]
-        n = np.array([len(f) for f in found], np.int64)
-        return np.fromiter((i for f in found for i in f), np.int64, int(n.sum())), n
+        found = [np.asarray(self._encode(" " + t) if t else (), np.int64) for t in texts]
+        return np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64)
+
+
+class Pieces:
+    """A SentencePiece model that puts the space in front itself."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.library = own = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = map(own.id_to_piece, range(own.get_piece_size()))
+        self.spelling = Spelling([bytes([int(p[3:5], 16)]) if own.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each text, and ids per text."""
+        found = self.library.encode(texts, num_threads=1)
+        n = np.array(list(map(len, found)), np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
 
 
 @lru_cache(maxsize=1)
 def _tokenizers(a_path: str, b_path: str) -> tuple:
-    a, b = ByteBpe(a_path), codec(b_path)
-    kinds = b.model.SentencePiece.Type
-    entries = [bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE else p.piece.replace(MARK, " ").encode() for p in b.model.pieces]
+    a, b = ByteBpe(a_path), Pieces(b_path)
     # Texts of all ids with what may follow them in the text of the groups.
     after = [",", "|", ";", ""]
-    texts = [f"{i}{x}" for vocab in (a.spelling.size, entries) for i in range(len(vocab)) for x in after]
-    return a, b, Spelling(entries), texts
+    texts = [f"{i}{x}" for own in (a, b) for i in range(len(own.spelling.size)) for x in after]
+    return a, b, texts
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,16 +166,15 @@ class Batch:
     """Some texts, encoded twice and aligned. Documents without tokens have no tokens, groups or links here."""
 
     def __init__(self, texts: list[str], data: np.ndarray, offsets: np.ndarray, a_path: str, b_path: str):
-        one, two, spelling, self.names = _tokenizers(a_path, b_path)
+        one, two, self.names = _tokenizers(a_path, b_path)
         self.vocabulary = len(one.spelling.size)
         a, n_a = one.encode(texts)
-        b, _, _, n_b = two.encode(texts, data, offsets)
-        b = b.astype(np.int64)
+        b, n_b = two.encode(texts)
         length = np.diff(offsets)
         length = length + (length > 0)
         whole = np.full(int(length.sum()), 0x20, np.uint8)
         whole[_ranges(np.cumsum(length) - length + 1, np.diff(offsets))] = data
-        good = (length > 0) & one.spelling.agrees(a, n_a, whole, length) & spelling.agrees(b, n_b, whole, length)
+        good = (length > 0) & one.spelling.agrees(a, n_a, whole, length) & two.spelling.agrees(b, n_b, whole, length)
         self.a, self.b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         self.n_a, self.n_b = n_a * good, n_b * good
         length = length * good
@@ -168,7 +183,7 @@ class Batch:
         step = _ranges(np.zeros(len(lanes), np.int64), lanes) * LANE
         first = np.repeat(ends - length, lanes) + step
         last = np.minimum(first + LANE, np.repeat(ends, lanes))
-        size_a, size_b = one.spelling.size[self.a], spelling.size[self.b]
+        size_a, size_b = one.spelling.size[self.a], two.spelling.size[self.b]
         self.link_a, self.link_b, self.cut = lockstep(np.cumsum(size_a), np.cumsum(size_b), first, last)
         # The first token of each group that is not in it any more.
         self.to_a, self.to_b = self.link_a[self.cut] + 1, self.link_b[self.cut] + 1

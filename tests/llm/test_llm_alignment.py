@@ -36,10 +36,11 @@ def plain(texts):
                         at += len(x)
                         found.append(at)
                     ends.append(found)
-                before = 0
+                at = [0, 0]
                 for cut in sorted(set(ends[0]) & set(ends[1])):
-                    groups.append(tuple([i for (i, _), e in zip(side, own) if before < e <= cut] for side, own in zip((a, b), ends)))
-                    before = cut
+                    to = [own.index(cut, k) + 1 for own, k in zip(ends, at)]
+                    groups.append(tuple([i for i, _ in side[k:e]] for side, k, e in zip((a, b), at, to)))
+                    at = to
         out.append(groups)
     return out
 
