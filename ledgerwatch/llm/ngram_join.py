@@ -38,15 +38,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the number of words of each row. A-Z count as a-z."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the number of words of each row. A-Z count as a-z; words hold no byte of ``between``."""
     counts = np.zeros(len(offsets) - 1, np.int64)
     out = []
     lo = 0
     while lo < len(counts):
         hi = max(int(np.searchsorted(offsets, offsets[lo] + B.STEP, "right")) - 1, lo + 1)
         piece = data[offsets[lo] : offsets[hi]]
-        inside = ~_SPACE[piece]
+        inside = ~between[piece]
         at = offsets[lo:hi] - offsets[lo]
         first = np.zeros(len(piece), bool)
         first[at[at < len(piece)]] = True

@@ -6,6 +6,7 @@ from ledgerwatch.llm.line_dedup import CHARACTERS, DOCUMENTS, LOWER, UPPER
 from ledgerwatch.llm.lookup_sharding import SHARDS, SLOTS, fill
 from ledgerwatch.llm.mixing import MOST_COPIES, SHARE, WEIGHTS
 from ledgerwatch.llm.quality_rules import HOST_LIMIT, MAX_PRIOR, MAX_REPEAT_PERCENT, MIN_WORDS
+from ledgerwatch.llm.ranked_search import BEST
 from ledgerwatch.llm.warc import REVISIT_BYTES
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -158,11 +159,36 @@ WITH given AS (
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM given JOIN left_over USING (place)
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED_SEARCH = f"""
+WITH given AS (
+    SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS words FROM documents
+), totals AS (
+    SELECT count(*) FILTER (len(words) > 0) AS every, CAST(sum(len(words)) AS BIGINT) AS total FROM given
+), held AS (
+    SELECT place, word, count(*) AS tf FROM (SELECT place, unnest(words) AS word FROM given) GROUP BY place, word
+), weights AS (
+    SELECT word, CAST(floor(1000 * ln((2 * every + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT word, count(*) AS df FROM held GROUP BY word), totals
+), lengths AS (
+    SELECT place, doc_id, CAST(100 - 90 + (90 * len(words) * every) // total AS BIGINT) AS m FROM given, totals WHERE len(words) > 0
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS word FROM benchmark
+), scores AS (
+    SELECT item_id, place, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN held USING (word) JOIN weights USING (word) JOIN lengths USING (place) GROUP BY item_id, place, doc_id
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ordered WHERE rank <= {BEST}
+"""
+
 ORACLES = {
     "op1_warc": WARC,
     "op4_sharding": SHARDING,
     "op7_quality_rules": QUALITY,
     "op8_mixing": MIXING,
     "op9_ngram_join": NGRAM_JOIN,
+    "op11_ranked_search": RANKED_SEARCH,
     "op12_line_dedup": LINE_DEDUP,
 }

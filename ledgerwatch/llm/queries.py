@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (
-    alignment, cap_filters, html_extraction, line_dedup, lookup_sharding, mixing, ngram_join, oracles, quality_rules, sentencepiece_codec, suffix_dedup, toxicity, warc,
+    alignment, cap_filters, html_extraction, line_dedup, lookup_sharding, mixing, ngram_join, oracles, quality_rules, ranked_search, sentencepiece_codec, suffix_dedup, toxicity, warc,
 )
 
 PIECES, BYTES = "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -101,6 +101,11 @@ def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.without_repeated_lines(docs).select(
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_ngram_join": op9_ngram_join,
     "op10_cap_filters": op10_cap_filters,
+    "op11_ranked_search": op11_ranked_search,
     "op12_line_dedup": op12_line_dedup,
     "op13_alignment": op13_alignment,
 }
