@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-STATE = T.StructType([T.StructField("recent", T.BinaryType())])
+STATE = T.StructType([T.StructField("at_micros", T.LongType())])
 OUTPUT = T.StructType(
     [
         T.StructField("transaction_id", T.StringType()),
@@ -26,6 +26,7 @@ OUTPUT = T.StructType(
         T.StructField("risk_tier", T.StringType()),
         T.StructField("at_micros", T.LongType()),
         T.StructField("event_count", T.LongType()),
+        T.StructField("late", T.BooleanType()),
     ]
 )
 
@@ -45,34 +46,59 @@ def counts_in_arrival_order(recent: list[int], times: list[int], span: int) -> l
     return counts
 
 
+def still_counting(times: np.ndarray, span: int) -> np.ndarray:
+    """Which of a sender's arrivals, in order, no later one has dropped."""
+    newest_after = np.maximum.accumulate(times[::-1])[::-1]
+    return times > newest_after - span
+
+
 class SenderWindow(StatefulProcessor):
-    """Emits the transfers of a sender that reach the limit.
+    """Emits the transfers of a sender that reach the limit, and the late ones.
+
+    The state is a list with one entry for each transfer, in order of arrival. A micro-batch
+    adds its own entries behind the stored ones; the list is only written anew, without the entries
+    that are dropped for good, once these are more than half of it. So an entry is written
+    about twice, however long it stays.
 
-    With ``idle_timers`` the state of a sender is cleared when the watermark has
-    passed the newest transfer by the window length. No transfer that is not late
-    could still count it.
+    If ``bounded``, transfers that are not after the watermark are late: they are emitted as such
+    and never counted. The state of a sender is cleared when the watermark has passed the newest transfer by the
+    window length, as no transfer that is not late could still count it.
     """
 
-    def __init__(self, limit: int, span_micros: int, idle_timers: bool):
+    def __init__(self, limit: int, span_micros: int, bounded: bool):
         self.limit = limit
         self.span = span_micros
-        self.idle_timers = idle_timers
+        self.bounded = bounded
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("recent", STATE)
+        self.state = handle.getListState("recent", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(rows, ignore_index=True).sort_values("arrival", kind="stable")
-        stored = self.state.get() if self.state.exists() else None
-        recent = np.frombuffer(stored[0], dtype=np.int64).tolist() if stored else []
+        if self.bounded:
+            batch["late"] = batch["at_micros"] <= timerValues.getCurrentWatermarkInMs() * 1000
+        else:
+            batch["late"] = False
+        late, fresh = batch[batch["late"]], batch[~batch["late"]].copy()
+        fresh["event_count"] = self._counts(fresh["at_micros"].to_numpy(dtype=np.int64)) if len(fresh) else []
+        hits = fresh[fresh["event_count"] >= self.limit]
+        yield pd.concat([hits, late.assign(event_count=0)])[OUTPUT.fieldNames()].astype({"event_count": "int64", "late": "bool"})
+
+    def _counts(self, times: np.ndarray) -> list[int]:
+        stored = np.array([entry[0] for entry in self.state.get()], dtype=np.int64) if self.state.exists() else np.zeros(0, np.int64)
+        recent = stored[still_counting(stored, self.span)].tolist() if len(stored) else []
         heapq.heapify(recent)
-        counts = counts_in_arrival_order(recent, batch["at_micros"].tolist(), self.span)
-        self.state.update((np.array(recent, dtype=np.int64).tobytes(),))
-        if self.idle_timers:
-            self._restart_timer(max(recent))
-        batch["event_count"] = counts
-        yield batch[batch["event_count"] >= self.limit][OUTPUT.fieldNames()]
+        counts = counts_in_arrival_order(recent, times.tolist(), self.span)
+        every = np.concatenate([stored, times])
+        kept = every[still_counting(every, self.span)]
+        if len(stored) and 2 * len(kept) < len(every):
+            self.state.put([(int(t),) for t in kept])
+        else:
+            self.state.appendList([(int(t),) for t in times])
+        if self.bounded:
+            self._restart_timer(int(every.max()))
+        return counts
 
     def _restart_timer(self, newest: int) -> None:
         for timer in list(self.handle.listTimers()):

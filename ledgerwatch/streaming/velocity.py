@@ -13,9 +13,11 @@ with a large part of all events is spread over many tasks, which suits backfills
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -38,9 +40,24 @@ from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow
 from ledgerwatch.workspace import stage, staged
 
 BROADCAST_ROWS = 2_000_000
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB; the session's setting is put back after it."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
 def start_lookup(
     customers: DataFrame, rule: VelocityRule = VelocityRule(), max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -67,7 +84,7 @@ def without_replays(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     return once.drop("event_time")
 
 
-def velocity_stream(
+def judged_stream(
     events: DataFrame,
     customers: DataFrame,
     rule: VelocityRule = VelocityRule(),
@@ -75,50 +92,60 @@ def velocity_stream(
     arrival: str = "arrival",
     delay: str = "1 hour",
 ) -> DataFrame:
-    """Streaming DataFrame of block decisions, from keyed state.
+    """Streaming DataFrame of block decisions and late transfers (``late``), from keyed state.
 
     ``events`` has the transaction columns and an ``arrival`` order. ``exact`` keeps
-    the state of every watched sender. ``bounded`` drops events later than ``delay``
-    and in return forgets idle senders.
+    the state of every watched sender, and no transfer is late. ``bounded`` forgets idle
+    senders; in return a transfer that is not after the watermark, ``delay`` behind the newest transfer
+    of a watched channel in earlier micro-batches, is not counted but passed on as late. The query has to
+    start within :func:`rocksdb_state`.
     """
     if mode not in ("exact", "bounded"):
         raise ValueError(f"unknown mode {mode}")
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if events.sparkSession.conf.get(PROVIDER, None) != ROCKSDB:
+        raise RuntimeError("keyed state needs RocksDB: build and start the query within rocksdb_state")
     bounded = mode == "bounded"
+    watched = events.filter(F.col("payment_channel").isin(*rule.channels) & F.col("executed_at").isNotNull())
     if bounded:
-        events = with_event_time(events, delay)
-    rows = events.filter(F.col("payment_channel").isin(*rule.channels)).join(
-        start_lookup(customers, rule), "sender_iban"
-    )
-    rows = rows.select(
+        watched = with_event_time(watched, delay)
+    # Without the event time itself: Spark would drop late rows before the state sees them.
+    rows = watched.join(start_lookup(customers, rule), "sender_iban").select(
         "transaction_id",
         "sender_iban",
         "risk_tier",
         micros(F.col("executed_at")).alias("at_micros"),
         F.col(arrival).alias("arrival"),
-        *(["event_time"] if bounded else []),
     )
     span = rule.window_minutes * 60 * MICROS_PER_SECOND
-    hits = (
-        rows.filter(F.col("at_micros").isNotNull())
-        .groupBy("sender_iban")
-        .transformWithStateInPandas(
-            statefulProcessor=SenderWindow(rule.max_transactions, span, bounded),
-            outputStructType=OUTPUT,
-            outputMode="Append",
-            timeMode="EventTime" if bounded else "None",
-        )
+    hits = rows.groupBy("sender_iban").transformWithStateInPandas(
+        statefulProcessor=SenderWindow(rule.max_transactions, span, bounded),
+        outputStructType=OUTPUT,
+        outputMode="Append",
+        timeMode="EventTime" if bounded else "None",
     )
     reason = velocity_reason(F.col("event_count"), rule.window_minutes, F.col("risk_tier"))
+    in_time = ~F.col("late")
     return hits.select(
         "transaction_id",
-        "event_count",
-        reason.alias("blocked_reason"),
+        F.when(in_time, F.col("event_count")).alias("event_count"),
+        F.when(in_time, reason).alias("blocked_reason"),
         from_micros(F.col("at_micros")).alias("decided_at"),
+        "late",
     )
 
 
+def velocity_stream(
+    events: DataFrame,
+    customers: DataFrame,
+    rule: VelocityRule = VelocityRule(),
+    mode: str = "exact",
+    arrival: str = "arrival",
+    delay: str = "1 hour",
+) -> DataFrame:
+    """The block decisions alone of :func:`judged_stream`."""
+    return judged_stream(events, customers, rule, mode, arrival, delay).filter(~F.col("late")).drop("late")
+
+
 def refuse_known_future(lake: Lake, table: str, batch_id: int) -> None:
     """Raise if the table holds later micro-batches: another checkpoint has written it."""
     if any(run > run_id(batch_id) for run in lake.runs("silver", table)):
@@ -130,12 +157,20 @@ def decision_sink(decisions: DataFrame, lake: Lake, table: str = "block_decision
 
     A replayed micro-batch replaces its own folder, so no decision is doubled. The
     folders are numbered as the checkpoint numbers its micro-batches: a query that
-    starts from a new checkpoint needs a new table, and is refused an old one.
+    starts from a new checkpoint needs a new table, and is refused an old one. Late
+    transfers of :func:`judged_stream` go to ``<table>_late``, so that they can be looked
+    into or judged again by the batch rule.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         refuse_known_future(lake, table, batch_id)
-        lake.write(batch, "silver", table, batch_id)
+        if "late" not in batch.columns:
+            lake.write(batch, "silver", table, batch_id)
+            return
+        # The state is gone through once, not once for each table.
+        with staged(batch, "judged") as (rows, _):
+            lake.write(rows.filter("late").select("transaction_id", "decided_at"), "silver", f"{table}_late", batch_id)
+            lake.write(rows.filter("not late").drop("late"), "silver", table, batch_id)
 
     return decisions.writeStream.outputMode("append").foreachBatch(write)
 

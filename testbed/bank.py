@@ -161,6 +161,30 @@ def velocity_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return velocity_feed(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
+#: Micro-batches that the event table is fed in, and the microseconds of arrival that each covers.
+SLICES, SLICE_MICROS = 6, 2_200_000_000
+
+
+def unordered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as it arrives: a fifth of the payments up to 40 minutes late. With its ``slice``."""
+    number = F.col("arrival")
+    behind = F.when(number % 5 == 0, (number * 7919) % 40).otherwise(0) * 60_000_000
+    since = micros(F.col("executed_at")) - micros(timestamp_ntz(START)) + behind
+    feed = velocity_payments(spark, sf_dir).withColumn("since", since)
+    part = F.least(F.floor(F.col("since") / SLICE_MICROS), F.lit(SLICES - 1)).cast("int")
+    return feed.withColumns({"arrival": F.col("since") * 1_000_000 + number % 1_000_000, "slice": part}).drop("since")
+
+
+def redelivered_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in order, half of it delivered again: one micro-batch later, or with the last one."""
+    feed = velocity_payments(spark, sf_dir)
+    since = micros(F.col("executed_at")) - micros(timestamp_ntz(START))
+    first = F.least(F.floor(since / 1_800_000_000), F.lit(SLICES - 1)).cast("int")
+    last = F.lit(SLICES - 1)
+    again = F.when(F.col("arrival") % 4 == 1, F.least(first + 1, last)).when(F.col("arrival") % 4 == 2, last)
+    return feed.withColumn("slice", F.explode(F.array_compact(F.array(first, again))))
+
+
 def audited(df: DataFrame, column: str = "ingested_at") -> DataFrame:
     return df.withColumn(column, timestamp_ntz(RUN_TS))
 

@@ -156,6 +156,35 @@ TABLES = {
       ON b.sender_iban = a.sender_iban AND b.executed_at > a.executed_at - INTERVAL 60 MINUTES
      AND (b.executed_at, b.event_id) <= (a.executed_at, a.event_id)
     GROUP BY a.transaction_id HAVING count(*) >= 5""",
+    # Arrival of a fifth of the payments up to 40 minutes late, in six slices.
+    "arrivals": f"""
+    SELECT *, since * 1000000 + event_id % 1000000 AS arrival, least(since // 2200000000, 5) AS slice
+    FROM (SELECT *, epoch_us(executed_at) - epoch_us({START})
+            + CASE WHEN event_id % 5 = 0 THEN event_id * 7919 % 40 ELSE 0 END * 60000000 AS since FROM feed)""",
+    # Behind the newest watched payment of earlier slices by ten minutes, in whole milliseconds.
+    "watermarks": """
+    SELECT s.slice, max(epoch_us(executed_at)) // 1000 * 1000 - 600000000 AS mark
+    FROM (SELECT DISTINCT slice FROM arrivals) s JOIN arrivals a ON a.slice < s.slice
+    WHERE payment_channel = 'INSTANT_SEPA' GROUP BY s.slice""",
+    "watched": """
+    SELECT a.transaction_id, a.sender_iban, a.slice, a.arrival, epoch_us(executed_at) AS at, risk_tier,
+           coalesce(epoch_us(executed_at) <= mark, FALSE) AS late
+    FROM arrivals a JOIN raw_customers ON iban = a.sender_iban LEFT JOIN watermarks w ON w.slice = a.slice
+    WHERE payment_channel = 'INSTANT_SEPA' AND risk_tier IN ('HIGH', 'PEP')""",
+    # An arrival counts until a later one is an hour newer, also for those dated before that one.
+    "counted_exact": """
+    SELECT k.transaction_id, any_value(k.risk_tier) AS risk_tier, any_value(k.slice) AS slice, count(*) AS event_count
+    FROM watched k JOIN watched i ON i.sender_iban = k.sender_iban AND i.arrival <= k.arrival
+    WHERE i.at > (SELECT max(m.at) FROM watched m WHERE m.sender_iban = k.sender_iban
+                  AND m.arrival BETWEEN i.arrival AND k.arrival) - 3600000000
+    GROUP BY k.transaction_id""",
+    "in_time": "SELECT * FROM watched WHERE NOT late",
+    "counted_in_time": """
+    SELECT k.transaction_id, any_value(k.slice) AS slice, count(*) AS event_count
+    FROM in_time k JOIN in_time i ON i.sender_iban = k.sender_iban AND i.arrival <= k.arrival
+    WHERE i.at > (SELECT max(m.at) FROM in_time m WHERE m.sender_iban = k.sender_iban
+                  AND m.arrival BETWEEN i.arrival AND k.arrival) - 3600000000
+    GROUP BY k.transaction_id""",
     "decided": f"""
     SELECT {COLUMNS.replace('transaction_id', 'f.transaction_id')
             .replace('status, blocked_reason', '''CASE WHEN event_count > 0 THEN 'BLOCKED' ELSE status END AS status,
@@ -268,6 +297,10 @@ GAPPY = "CASE WHEN event_id % 13 <> 0 THEN sender_iban END"
 SHORT = "left(beneficiary_iban, 3)"
 ROLLING = "SELECT * FROM rolling"
 BLOCKS = "SELECT transaction_id, event_count, blocked_reason FROM blocks"
+BLOCKS_BY_ARRIVAL = """
+SELECT transaction_id, event_count,
+       'VELOCITY_RULE: ' || event_count || ' INSTANT_SEPA in 60 min | risk_tier=' || risk_tier AS blocked_reason
+FROM counted_exact WHERE event_count >= 5"""
 BROKEN = "event_id % 97 = 5"
 
 
@@ -383,6 +416,18 @@ STATEMENTS = {
     "velocity_batch": BLOCKS,
     "velocity_batch_sliced": BLOCKS,
     "velocity_stream": BLOCKS,
+    "velocity_keyed": BLOCKS_BY_ARRIVAL,
+    "velocity_recovered": BLOCKS_BY_ARRIVAL,
+    "velocity_late_events": """
+    SELECT transaction_id, event_count, FALSE AS late FROM counted_in_time
+    UNION ALL SELECT transaction_id, NULL, TRUE FROM watched WHERE late""",
+    "replays_dropped": "SELECT transaction_id, executed_at, 1::BIGINT AS n_rows FROM feed",
+    "run_counters": """
+    SELECT run, counter, CAST(sum(n) AS BIGINT) AS total FROM (
+      SELECT 1 + slice // 3 AS run, 'events' AS counter, 1 AS n FROM arrivals
+      UNION ALL SELECT 1 + slice // 3, 'late', CAST(late AS INTEGER) FROM watched
+      UNION ALL SELECT 1 + slice // 3, 'blocked', CAST(event_count >= 5 AS INTEGER) FROM counted_in_time)
+    GROUP BY ALL""",
     "scd2_history": VERSIONS,
     "scd2_incremental": VERSIONS,
     "as_of_lookup": """

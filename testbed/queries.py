@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerwatch.functions import columns as fn
 from ledgerwatch.operators import kpis, marts, quality, settlements, snapshots, upserts, velocity
@@ -16,10 +18,12 @@ from ledgerwatch.plans import batch, declared
 from ledgerwatch.schemas import (
     TRANSACTION_COLUMNS,
     TRANSACTION_REQUIRED,
+    VelocityRule,
 )
 from ledgerwatch.sources import bronze, events, exports, records
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming import velocity as live
+from ledgerwatch.streaming.counters import RunCounters, counted, counted_where
 from ledgerwatch.workspace import new_folder, stage
 from testbed import bank
 
@@ -381,6 +385,112 @@ def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_all("silver", "block_decisions").drop("decided_at")
 
 
+class LandedFeed:
+    """A feed whose slices are put into a folder one after the other, each as the same number of files."""
+
+    FILES = 3
+
+    def __init__(self, feed: DataFrame):
+        self.spark = feed.sparkSession
+        self.rows = stage(feed, "feed")
+        self.folder, self.checkpoint = new_folder(self.spark, "landed"), new_folder(self.spark, "checkpoint")
+        self.schema = self.rows.drop("slice").schema
+
+    def land(self, *slices: int) -> None:
+        for number in slices:
+            rows = self.rows.filter(F.col("slice") == number).drop("slice")
+            rows.repartition(self.FILES).write.mode("append").parquet(self.folder)
+
+    def stream(self) -> DataFrame:
+        """One slice in each micro-batch."""
+        return events.file_events(self.spark, self.folder, self.schema, files_per_trigger=self.FILES)
+
+    def drain(self, writer) -> StreamingQuery:
+        """Run until all that has landed is done, from where the last run stopped."""
+        started = writer.option("checkpointLocation", self.checkpoint).trigger(availableNow=True).start()
+        started.awaitTermination()
+        return started
+
+
+ALL_SLICES = range(bank.SLICES)
+
+
+@query
+def velocity_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed state over six micro-batches of events that come out of order."""
+    feed, lake = LandedFeed(bank.unordered_feed(spark, sf_dir)), new_lake(spark)
+    feed.land(*ALL_SLICES)
+    with live.rocksdb_state(spark):
+        decisions = live.velocity_stream(feed.stream(), bank.raw_customers(spark, sf_dir))
+        feed.drain(live.decision_sink(decisions, lake))
+    return lake.read_all("silver", "block_decisions").drop("decided_at")
+
+
+@query
+def velocity_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate with its count, or as late: the rows that come in are those that come out."""
+    feed, lake = LandedFeed(bank.unordered_feed(spark, sf_dir)), new_lake(spark)
+    feed.land(*ALL_SLICES)
+    with live.rocksdb_state(spark):
+        customers, every = bank.raw_customers(spark, sf_dir), VelocityRule(max_transactions=1)
+        judged = live.judged_stream(feed.stream(), customers, every, mode="bounded", delay="10 minutes")
+        feed.drain(live.decision_sink(judged, lake))
+    late = lake.read_all("silver", "block_decisions_late").select("transaction_id", F.lit(None).cast("bigint").alias("event_count"), F.lit(True).alias("late"))
+    return lake.read_all("silver", "block_decisions").select("transaction_id", "event_count", F.lit(False).alias("late")).unionByName(late)
+
+
+@query
+def velocity_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that breaks off after its third micro-batch was written, but before that was known, and a second run."""
+    feed, lake = LandedFeed(bank.unordered_feed(spark, sf_dir)), new_lake(spark)
+    customers = bank.raw_customers(spark, sf_dir)
+
+    def breaks_off(batch: DataFrame, batch_id: int) -> None:
+        lake.write(batch, "silver", "block_decisions", batch_id)
+        if batch_id == 2:
+            raise RuntimeError("broken off")
+
+    feed.land(*ALL_SLICES[:4])
+    with live.rocksdb_state(spark):
+        try:
+            feed.drain(live.velocity_stream(feed.stream(), customers).writeStream.foreachBatch(breaks_off))
+        except StreamingQueryException:
+            pass
+        feed.land(*ALL_SLICES[4:])
+        feed.drain(live.decision_sink(live.velocity_stream(feed.stream(), customers), lake))
+    return lake.read_all("silver", "block_decisions").drop("decided_at")
+
+
+@query
+def replays_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments that are delivered again, within the delay and long after it, count once."""
+    feed, lake = LandedFeed(bank.redelivered_feed(spark, sf_dir)), new_lake(spark)
+    feed.land(*ALL_SLICES)
+    with live.rocksdb_state(spark):
+        once = live.without_replays(feed.stream(), "45 minutes")
+        feed.drain(live.decision_sink(once, lake, "once"))
+    return lake.read_all("silver", "once").groupBy("transaction_id", "executed_at").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, late events and blocks of two runs of one query, as its micro-batches report them."""
+    feed, lake = LandedFeed(bank.unordered_feed(spark, sf_dir)), new_lake(spark)
+    customers, totals, counts = bank.raw_customers(spark, sf_dir), RunCounters(), []
+    spark.streams.addListener(totals)
+    try:
+        for run, slices in enumerate((ALL_SLICES[:3], ALL_SLICES[3:]), 1):
+            feed.land(*slices)
+            with live.rocksdb_state(spark):
+                judged = live.judged_stream(counted(feed.stream(), "events"), customers, mode="bounded", delay="10 minutes")
+                judged = counted_where(judged, {"late": F.col("late"), "blocked": ~F.col("late")})
+                found = totals.of_run(feed.drain(live.decision_sink(judged, lake)))
+            counts += [(run, name, found[name]) for name in ("events", "late", "blocked")]
+    finally:
+        spark.streams.removeListener(totals)
+    return spark.createDataFrame(counts, "run int, counter string, total bigint")
+
+
 # Customer history
 
 

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import heapq
 import random
 import time
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -12,13 +14,13 @@ from pyspark.sql import types as T
 
 from ledgerwatch.operators.upserts import apply_block_decisions
 from ledgerwatch.operators.velocity import velocity_batch
-from ledgerwatch.schemas import CUSTOMERS, TRANSACTION_COLUMNS, TRANSACTION_REQUIRED
+from ledgerwatch.schemas import CUSTOMERS, TRANSACTION_COLUMNS, TRANSACTION_REQUIRED, VelocityRule
 from ledgerwatch.sources import records
 from ledgerwatch.sources.events import file_events
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming import velocity as live
-from ledgerwatch.streaming.counters import RunCounters, counted
-from ledgerwatch.streaming.sender_state import counts_in_arrival_order
+from ledgerwatch.streaming.counters import RunCounters, counted, counted_where
+from ledgerwatch.streaming.sender_state import counts_in_arrival_order, still_counting
 
 T0 = datetime(2024, 1, 1, 12)
 TEXT = T.StructType([T.StructField("value", T.StringType())])
@@ -78,6 +80,12 @@ def as_blocks(rows):
     return {r.transaction_id: (r.event_count, r.blocked_reason) for r in rows}
 
 
+@pytest.fixture(autouse=True)
+def keyed_state(spark):
+    with live.rocksdb_state(spark):
+        yield
+
+
 @pytest.mark.parametrize("hot_rows", [1, 10**6])
 def test_batch_equals_simulation(spark, hot_rows):
     rows = random_events(1)
@@ -109,6 +117,16 @@ def test_state_step_follows_the_closed_form(times):
     assert counts_in_arrival_order([], times, span) == expected
 
 
+@given(st.lists(st.integers(0, 200), max_size=60), st.integers(0, 60))
+def test_stored_arrivals_are_pruned_as_the_rule_drops_them(times, cut):
+    """Dropping entries between micro-batches changes no later count."""
+    span, stored = 60, np.array(times[:cut], dtype=np.int64)
+    recent = counts_in_arrival_order([], times, span)
+    kept = stored[still_counting(stored, span)].tolist() if len(stored) else []
+    heapq.heapify(kept)
+    assert counts_in_arrival_order(kept, times[cut:], span) == recent[cut:]
+
+
 def land(spark, rows, folder):
     """One more file for the stream; file times decide the order, so they are kept apart."""
     frame(spark, rows).coalesce(1).write.mode("append").parquet(folder)
@@ -309,3 +327,51 @@ def test_a_new_checkpoint_is_refused_an_old_table(spark, tmp_path):
     live.refuse_known_future(lake, "block_decisions", 4)
     with pytest.raises(RuntimeError):
         live.refuse_known_future(lake, "block_decisions", 0)
+
+
+def test_the_sessions_state_store_is_put_back(spark):
+    spark.conf.set(live.PROVIDER, "other")
+    try:
+        with pytest.raises(RuntimeError):
+            live.velocity_stream(frame(spark, []), customers(spark))
+        with live.rocksdb_state(spark):
+            assert spark.conf.get(live.PROVIDER) == live.ROCKSDB
+        assert spark.conf.get(live.PROVIDER) == "other"
+    finally:
+        spark.conf.set(live.PROVIDER, live.ROCKSDB)
+
+
+def test_late_events_are_kept_apart_and_counted(spark, tmp_path):
+    """Behind the newest event of earlier micro-batches by more than the delay, whoever's it was."""
+    folder, lake = f"{tmp_path}/feed", Lake(spark, f"{tmp_path}/lake")
+    minute = lambda k: T0 + timedelta(minutes=k)
+    land(spark, [event(0, "high", minute(100)), event(1, "pep", minute(89)), event(2, "pep", minute(20))], folder)
+    land(spark, [event(3, "pep", minute(90)), event(4, "pep", minute(91)), event(5, "stranger", minute(1)), event(6, "pep", None)], folder)
+    feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
+    totals = RunCounters()
+    spark.streams.addListener(totals)
+    stream = live.judged_stream(feed, customers(spark), VelocityRule(max_transactions=1), "bounded", delay="10 minutes")
+    stream = counted_where(stream, {"late": F.col("late"), "in time": ~F.col("late")})
+    writer = live.decision_sink(stream, lake).option("checkpointLocation", f"{tmp_path}/checkpoint")
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    counts = totals.of_run(query)
+    spark.streams.removeListener(totals)
+    rows = {r.transaction_id: r.event_count for r in lake.read_all("silver", "block_decisions").collect()}
+    assert rows == {"T00000": 1, "T00001": 1, "T00002": 2, "T00004": 2}
+    assert [tuple(r) for r in lake.read_all("silver", "block_decisions_late").collect()] == [("T00003", minute(90))]
+    assert counts == {"late": 1, "in time": 4}
+
+
+def test_state_is_added_to_and_pruned(spark, tmp_path):
+    """A sender's list never holds much more than twice what still counts."""
+    folder, lake = f"{tmp_path}/feed", Lake(spark, f"{tmp_path}/lake")
+    for part in range(5):
+        land(spark, [event(part * 20 + k, "pep", T0 + timedelta(minutes=40 * part + 2 * k)) for k in range(20)], folder)
+    feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
+    writer = live.decision_sink(live.velocity_stream(feed, customers(spark)), lake).option("checkpointLocation", f"{tmp_path}/checkpoint")
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(held) >= 5 and max(held) <= 80
+    assert decided(lake) == simulate([event(k, "pep", T0 + timedelta(minutes=2 * k)) for k in range(100)])
