@@ -212,13 +212,13 @@ def linked_documents(
     every = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_prefixes(words, percent, buckets), SETS), "shingles")
     least = F.min(F.coalesce("id", F.lit(B.LAST))).alias("id")
     sets = every.where("sig is not null").groupBy("sig").agg(
-        least, *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "codes", "one", "two", "three")]
+        least, F.count(F.lit(1)).alias("docs"), *[F.first(c, ignorenulls=True).alias(c) for c in ("n", "codes", "one", "two", "three")]
     )
     sets = stage(sets, "classes")
     # A pair's first common token bounds what it has in common by what follows on either side.
     need = F.ceil(F.col("n") * percent / 100)
-    tokens = sets.select("sig", "n", (need + F.size("one") - 1).alias("whole"), F.posexplode("one").alias("k", "token"))
-    tokens = stage(tokens.select("sig", "n", (F.col("whole") - F.col("k")).alias("most"), "token"), "prefixes")
+    tokens = sets.select("sig", "n", "docs", (need + F.size("one") - 1).alias("whole"), F.posexplode("one").alias("k", "token"))
+    tokens = stage(tokens.select("sig", "n", "docs", (F.col("whole") - F.col("k")).alias("most"), "token"), "prefixes")
     close = F.expr(
         f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {percent}"
         f" and least(x.most, y.most) * (100 + {percent}) >= {percent} * (x.n + y.n)"
@@ -226,9 +226,10 @@ def linked_documents(
     marks = tokens.withColumn("label", F.col("sig"))
     links, before = None, float("inf")
     for turn in range(TURNS):
-        # First one leader for all groups a document is in, then others for each of them.
+        # The class of most documents is the likeliest original of the others. First one leader
+        # for all groups a document is in, then others for each of them.
         draw = F.xxhash64("sig", *([F.lit(turn), F.col("token")] if turn else []))
-        rank = F.struct(draw.alias("r"), "sig", "n", "most", "label")
+        rank = F.struct((-F.col("docs") if turn == 0 else F.lit(0)).alias("c"), draw.alias("r"), "sig", "n", "most", "label")
         leaders = marks.groupBy("token").agg(F.min(rank).alias("leader")).select("token", "leader.*")
         x, y = marks.alias("x"), leaders.alias("y")
         pairs = x.join(y, F.expr("x.token = y.token and x.label <> y.label") & close)
@@ -237,7 +238,7 @@ def linked_documents(
         links = contracted(more if links is None else links.unionByName(more), STEPS)
         roots = least_linked(links).withColumnRenamed("node", "who")
         marks = marks.drop("label").join(roots, F.col("sig") == F.col("who"), "left")
-        marks = marks.select("sig", "n", "most", "token", F.coalesce("root", "sig").alias("label"))
+        marks = marks.select("sig", "n", "docs", "most", "token", F.coalesce("root", "sig").alias("label"))
         held = marks.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"))
         held = stage(held.where("all * all > same").select(F.col("token").alias("t"), ((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")), "mixed")
         marks, left = stage_counted(marks.join(held, marks.token == held.t, "left_semi"), "prefixes")

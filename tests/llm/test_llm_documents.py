@@ -248,3 +248,31 @@ def test_character_map(text):
     normal, source = sentencepiece_codec.normalise(text, model)
     assert normal.decode() == own.normalize(text)
     assert len(source) == len(normal) + 1 and source == sorted(source)
+
+
+def test_candidates_of_a_large_group_of_near_copies_grow_with_it(spark, monkeypatch):
+    """A quarter equals a text, the others have up to three of its words changed."""
+    plain, compared = ngram_join._linked, []
+
+    def counted(pairs, sets, percent):
+        compared.append(pairs.count())
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    found = {}
+    for n in (400, 1_600):
+        draw = random.Random(1)
+        rows = []
+        for i in range(n):
+            words = [f"w{k}" for k in range(60)]
+            for _ in range(draw.randrange(4)):
+                words[draw.randrange(60)] = f"x{draw.randrange(10**6)}"
+            rows.append((i, " ".join(words)))
+        compared.clear()
+        out = ngram_join.near_duplicates(queries.workers_import(spark).createDataFrame(rows, "doc_id long, text string"))
+        sets = [{tuple(w[k : k + 5]) for k in range(56)} for w in (t.split() for _, t in rows)]
+        original = next(i for i, t in rows if "x" not in t)
+        near = {i for i, s in enumerate(sets) if 100 * len(s & sets[original]) >= 80 * len(s | sets[original])}
+        assert {r.id for r in out.where(f"component_id = {min(near)}").collect()} >= near
+        found[n] = sum(compared)
+    assert found[1_600] <= 5 * found[400] + 100
