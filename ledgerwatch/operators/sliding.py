@@ -4,23 +4,26 @@ The total at time T is what has entered up to T less what has left by then. Both
 parts are running sums from the start of the key, which Spark updates row by row;
 a bounded RANGE frame would be summed anew for every row.
 
-Keys with many rows do not fit one window task. They are cut into time slots:
-slot totals are pre-aggregated and carried forward, so that each (key, slot) group
-only needs its own rows and one carry row. Rows of one time are summed up first.
-Both ways are exact, therefore it does not matter for the result which way a key
-takes.
+Keys with many rows do not fit one window task. Their rows are cut into ranges of about equal
+size, in the order of key, time and tie break, so that neither a key nor a single time stamp makes a
+range large. Each range is summed, the sums of a key's earlier ranges are carried
+forward, and each (key, range) group then only needs its own rows and one carry row. Both
+ways are exact, therefore it does not matter for the result which way a key takes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerwatch.workspace import stage
+
 HOT_ROWS = 1_000_000
+#: Moves of one range, about; a range is one group of a window.
+RANGE_ROWS = 500_000
 
 
 def hot_keys(
@@ -47,10 +50,10 @@ def sliding_totals(
     at: str,
     measures: dict[str, Column],
     leaves_after: timedelta,
-    slot: Callable[[Column], Column],
     tie_break: str | None = None,
     hot_rows: int = HOT_ROWS,
     rows: int | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add one column per measure: its total over the trailing window at each row.
 
@@ -59,7 +62,8 @@ def sliding_totals(
     ``tie_break`` if that is given. ``key`` and ``at`` must not be NULL, measures
     must not be NULL either. ``df`` is read several times and should be a table. If
     its number of ``rows`` is known to be below ``hot_rows``, no key can be hot and
-    the plain window does it all.
+    the plain window does it all. Else the moves of the hot keys are written by ranges
+    while the result is planned. ``tie_break`` should tell a key's rows apart: rows that agree in it are not cut.
     """
     columns = [*df.columns, *measures]
     if rows is not None and rows < hot_rows:
@@ -70,10 +74,10 @@ def sliding_totals(
     many = df.join(hot, key, "left_semi")
     plain = _by_key(few, key, at, measures, leaves_after, tie_break)
     if tie_break is None:
-        sliced = _by_distinct_time(many, key, at, measures, leaves_after, slot)
+        ranged = _by_distinct_time(many, key, at, measures, leaves_after, range_rows)
     else:
-        sliced = _by_slot(many, key, at, measures, leaves_after, slot, tie_break)
-    return plain.select(*columns).unionByName(sliced.select(*columns))
+        ranged = _by_range(many, key, at, measures, leaves_after, tie_break, range_rows)
+    return plain.select(*columns).unionByName(ranged.select(*columns))
 
 
 def _by_key(df, key, at, measures, leaves_after, tie_break) -> DataFrame:
@@ -94,7 +98,7 @@ def _by_key(df, key, at, measures, leaves_after, tie_break) -> DataFrame:
     return df
 
 
-def _by_distinct_time(df, key, at, measures, leaves_after, slot) -> DataFrame:
+def _by_distinct_time(df, key, at, measures, leaves_after, range_rows) -> DataFrame:
     """Rows with equal times share a total, so one row per time is enough to slide over.
 
     Times may be coarse, dates even, and a single one may hold a large part of a hot
@@ -104,58 +108,44 @@ def _by_distinct_time(df, key, at, measures, leaves_after, slot) -> DataFrame:
     sums = {name: F.sum(value).alias(f"_sum_{name}") for name, value in measures.items()}
     times = df.groupBy(key, at).agg(*sums.values())
     summed = {name: F.col(f"_sum_{name}") for name in measures}
-    totals = _by_slot(times, key, at, summed, leaves_after, slot, None)
+    totals = _by_range(times, key, at, summed, leaves_after, None, range_rows)
     return df.join(totals.select(key, at, *measures), [key, at])
 
 
-def _by_slot(df, key, at, measures, leaves_after, slot, tie_break) -> DataFrame:
+def _by_range(df, key, at, measures, leaves_after, tie_break, range_rows) -> DataFrame:
     names = list(measures)
     leave_time = F.col(at) + F.expr(_interval_sql(leaves_after))
-    row = F.struct(*df.columns)
-
-    def moves(payload: Column) -> DataFrame:
-        """Two moves per row: it enters at its own time, and leaves later."""
-        enter = F.struct(
-            F.col(at).alias("_at"),
-            F.lit(1).alias("_enters"),
-            *(measures[n].alias(f"_{n}") for n in names),
-            payload.alias("_row"),
-        )
-        leave = F.struct(
-            leave_time.alias("_at"),
-            F.lit(0).alias("_enters"),
-            *((-measures[n]).alias(f"_{n}") for n in names),
-            F.when(F.lit(False), payload).alias("_row"),
-        )
-        both = df.select(key, F.inline(F.array(enter, leave)))
-        return both.withColumn("_slot", slot(F.col("_at")))
-
-    sums = [F.sum(f"_{n}").alias(f"_{n}") for n in names]
-    slots = moves(F.lit(None).cast("int")).groupBy(key, "_slot").agg(*sums)
-    earlier = W.partitionBy(key).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
-    carried = slots.select(
-        key, "_slot", *(F.sum(f"_{n}").over(earlier).alias(f"_{n}") for n in names)
+    row, tie = F.struct(*df.columns), F.col(tie_break) if tie_break else F.lit(0)
+    # Two moves per row: it enters at its own time, and leaves later.
+    enter = F.struct(
+        F.col(at).alias("_at"),
+        F.lit(1).alias("_enters"),
+        tie.alias("_tie"),
+        *(measures[n].alias(f"_{n}") for n in names),
+        row.alias("_row"),
     )
-    own = moves(row)
-    # Sums widen decimals; the carry goes back to a type both sides share.
-    wide = {n: slots.schema[f"_{n}"].dataType for n in names}
-    carry = carried.select(
-        key,
-        F.lit(None).cast("timestamp_ntz").alias("_at"),
+    leave = F.struct(
+        leave_time.alias("_at"),
         F.lit(0).alias("_enters"),
-        *(F.coalesce(F.col(f"_{n}").cast(wide[n]), F.lit(0).cast(wide[n])).alias(f"_{n}") for n in names),
-        F.lit(None).cast(own.schema["_row"].dataType).alias("_row"),
-        "_slot",
-    )
-    own = own.select(
-        key, "_at", "_enters", *(F.col(f"_{n}").cast(wide[n]) for n in names), "_row", "_slot"
+        tie.alias("_tie"),
+        *((-measures[n]).alias(f"_{n}") for n in names),
+        F.when(F.lit(False), row).alias("_row"),
     )
+    moves = df.select(key, F.inline(F.array(enter, leave)))
     # What leaves at T is gone before what enters at T is looked at.
-    order = [F.asc_nulls_first("_at"), F.col("_enters")]
-    if tie_break:
-        order.append(F.col(f"_row.{tie_break}"))
-    upto = W.partitionBy(key, "_slot").orderBy(*order)
-    totals = own.unionByName(carry).select(
-        "_enters", "_row", *(F.sum(f"_{n}").over(upto).alias(n) for n in names)
-    )
+    order = ["_at", "_enters", "_tie"]
+    ranges = max(1, -(-2 * df.count() // range_rows))
+    own = stage(moves.repartitionByRange(ranges, key, *order).withColumn("_range", F.spark_partition_id()), "moves")
+    sums = own.groupBy(key, "_range").agg(*(F.sum(f"_{n}").alias(f"_{n}") for n in names))
+    # A row for each range of a key, so this window is small.
+    earlier = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    carried = sums.select(key, "_range", *(F.sum(f"_{n}").over(earlier).alias(f"_{n}") for n in names))
+    # Sums widen decimals; the carry goes back to a type both sides share.
+    wide = {n: sums.schema[f"_{n}"].dataType for n in names}
+    nothing = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("_at", "_tie", "_row")]
+    zero_or = [F.coalesce(F.col(f"_{n}").cast(wide[n]), F.lit(0).cast(wide[n])).alias(f"_{n}") for n in names]
+    carry = carried.select(key, *nothing, F.lit(0).alias("_enters"), *zero_or, "_range")
+    own = own.select(key, "_at", "_tie", "_row", "_enters", *(F.col(f"_{n}").cast(wide[n]) for n in names), "_range")
+    upto = W.partitionBy(key, "_range").orderBy(*(F.asc_nulls_first(c) for c in order))
+    totals = own.unionByName(carry).select("_enters", "_row", *(F.sum(f"_{n}").over(upto).alias(n) for n in names))
     return totals.filter(F.col("_enters") == 1).select("_row.*", *names)

@@ -7,8 +7,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import seconds, velocity_reason
-from ledgerwatch.operators.sliding import HOT_ROWS, sliding_totals
+from ledgerwatch.functions.columns import velocity_reason
+from ledgerwatch.operators.sliding import HOT_ROWS, RANGE_ROWS, sliding_totals
 from ledgerwatch.schemas import VelocityRule
 from ledgerwatch.workspace import stage_counted
 
@@ -43,6 +43,7 @@ def velocity_counts(
     rule: VelocityRule = VelocityRule(),
     hot_rows: int = HOT_ROWS,
     rows: int | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``event_count``: candidates of the sender in the window, this one included.
 
@@ -55,10 +56,10 @@ def velocity_counts(
         at="executed_at",
         measures={"event_count": F.lit(1).cast("bigint")},
         leaves_after=timedelta(minutes=rule.window_minutes),
-        slot=seconds,
         tie_break="arrival",
         hot_rows=hot_rows,
         rows=rows,
+        range_rows=range_rows,
     )
 
 
@@ -75,6 +76,7 @@ def velocity_batch(
     rule: VelocityRule = VelocityRule(),
     arrival: str = "transaction_id",
     hot_rows: int = HOT_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Payments to block, for data whose arrival order follows the event time.
 
@@ -82,4 +84,4 @@ def velocity_batch(
     """
     candidates = velocity_candidates(payments, customers, rule, arrival)
     table, rows = stage_counted(candidates, "velocity")
-    return blocks_from_counts(velocity_counts(table, rule, hot_rows, rows), rule)
+    return blocks_from_counts(velocity_counts(table, rule, hot_rows, rows, range_rows), rule)

@@ -156,6 +156,13 @@ TABLES = {
       ON b.sender_iban = a.sender_iban AND b.executed_at > a.executed_at - INTERVAL 60 MINUTES
      AND (b.executed_at, b.event_id) <= (a.executed_at, a.event_id)
     GROUP BY a.transaction_id HAVING count(*) >= 5""",
+    "crowded": f"""
+    SELECT * REPLACE (CASE WHEN sender_iban = (SELECT sender_iban FROM candidates GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+                           THEN {START} ELSE executed_at END AS executed_at) FROM candidates""",
+    "crowded_open": f"""
+    SELECT * REPLACE (CASE WHEN sender_iban_hmac = (SELECT sender_iban_hmac FROM reconciled WHERE {OPEN_CANDIDATES}
+                                                    GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+                           THEN {START} ELSE executed_at END AS executed_at) FROM reconciled WHERE {OPEN_CANDIDATES}""",
     # Arrival of a fifth of the payments up to 40 minutes late, in six slices.
     "arrivals": f"""
     SELECT *, since * 1000000 + event_id % 1000000 AS arrival, least(since // 2200000000, 5) AS slice
@@ -416,6 +423,18 @@ STATEMENTS = {
     "velocity_batch": BLOCKS,
     "velocity_batch_sliced": BLOCKS,
     "velocity_stream": BLOCKS,
+    "velocity_one_second": """
+    SELECT a.transaction_id, count(*) AS event_count,
+           'VELOCITY_RULE: ' || count(*) || ' INSTANT_SEPA in 60 min | risk_tier=' || any_value(a.risk_tier) AS blocked_reason
+    FROM crowded a JOIN crowded b
+      ON b.sender_iban = a.sender_iban AND b.executed_at > a.executed_at - INTERVAL 60 MINUTES
+     AND (b.executed_at, b.event_id) <= (a.executed_at, a.event_id)
+    GROUP BY a.transaction_id HAVING count(*) >= 5""",
+    "rolling_30d_one_second": """
+    SELECT sender_iban_hmac, sender_iban_truncated, transaction_id, amount_eur, executed_at,
+           CAST(sum(amount_eur) OVER (PARTITION BY sender_iban_hmac ORDER BY executed_at
+             RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS rolling_30d_cross_border_eur
+    FROM crowded_open""",
     "velocity_keyed": BLOCKS_BY_ARRIVAL,
     "velocity_recovered": BLOCKS_BY_ARRIVAL,
     "velocity_late_events": """

@@ -368,6 +368,22 @@ def velocity_batch_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def velocity_one_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payments of the busiest sender in one second, and every sender cut into ranges of some rows."""
+    customers, feed = bank.raw_customers(spark, sf_dir), bank.velocity_payments(spark, sf_dir)
+    feed = bank.one_second(feed, "sender_iban", velocity.velocity_candidates(feed, customers, arrival="arrival"))
+    return velocity.velocity_batch(feed, customers, arrival="arrival", hot_rows=1, range_rows=16)
+
+
+@query
+def rolling_30d_one_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling sums with all payments of the busiest sender in one second."""
+    rows = reconciled(spark, sf_dir)
+    rows = bank.one_second(rows, "sender_iban_hmac", marts.alert_candidates(rows))
+    return marts.rolling_cross_border(rows, hot_rows=1)
+
+
 @query
 def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table drained as a stream into the decision table.

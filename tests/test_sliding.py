@@ -7,12 +7,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import hours, minutes, seconds
 from ledgerwatch.operators.marts import ROLLING, aml_alerts, rolling_cross_border
+from ledgerwatch.operators import sliding
 from ledgerwatch.operators.sliding import hot_keys, sliding_totals
+from ledgerwatch.workspace import stage
 
 T0 = datetime(2024, 1, 1)
-SLOTS = {"hours": hours, "minutes": minutes, "seconds": seconds}
 
 
 def random_rows(seed: int, n: int, spread: int):
@@ -40,10 +40,10 @@ def brute_force(rows, span: timedelta, ties: bool):
     return totals
 
 
-@pytest.mark.parametrize("slot", list(SLOTS))
+@pytest.mark.parametrize("range_rows", [7, 60, 10**6])
 @pytest.mark.parametrize("hot_rows", [1, 60, 10**9])
 @pytest.mark.parametrize("ties", [False, True])
-def test_matches_brute_force(spark, slot, hot_rows, ties):
+def test_matches_brute_force(spark, range_rows, hot_rows, ties):
     span = timedelta(minutes=20)
     rows = random_rows(7, 300, 7200)
     frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
@@ -53,9 +53,9 @@ def test_matches_brute_force(spark, slot, hot_rows, ties):
         "at",
         {"total": F.col("v"), "n": F.lit(1).cast("bigint")},
         span,
-        SLOTS[slot],
         tie_break="i" if ties else None,
         hot_rows=hot_rows,
+        range_rows=range_rows,
     ).collect()
     expected = brute_force(rows, span, ties)
     assert len(found) == len(rows)
@@ -75,17 +75,35 @@ def test_coarse_times_of_a_hot_key_are_summed_before_the_shuffle(spark):
     ]
     frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
     span = timedelta(days=30)
-    result = sliding_totals(frame, "k", "at", {"total": F.col("v")}, span, minutes, hot_rows=100)
+    result = sliding_totals(frame, "k", "at", {"total": F.col("v")}, span, hot_rows=100)
     assert {row.i: row.total for row in result.collect()} == brute_force(rows, span, False)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "keys=[k#" in plan and "partial_sum" in plan
 
 
+def test_a_single_second_of_a_hot_key_is_cut(spark):
+    """All rows have one key and one time: each group of the last window still has about as many as asked for."""
+    rows = [(i, "hot", T0, Decimal(i)) for i in range(2_000)]
+    frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
+    total, staged = {"total": F.col("v")}, []
+
+    def seen(df, label):
+        staged.append(stage(df, label))
+        return staged[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(sliding, "stage", seen)
+        result = sliding_totals(frame, "k", "at", total, timedelta(minutes=5), tie_break="i", hot_rows=1, range_rows=200)
+    assert {r.i: r.total for r in result.collect()} == {i: Decimal(i * (i + 1) // 2) for i in range(2_000)}
+    sizes = [r["count"] for r in staged[0].groupBy("k", "_range").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 3 * 200
+
+
 def test_known_small_input_takes_the_plain_way(spark):
     rows = random_rows(3, 50, 3600)
     frame = spark.createDataFrame(rows, "i int, k string, at timestamp_ntz, v decimal(18,2)")
     plan = sliding_totals(
-        frame, "k", "at", {"t": F.col("v")}, timedelta(hours=1), minutes, rows=50
+        frame, "k", "at", {"t": F.col("v")}, timedelta(hours=1), rows=50
     )._jdf.queryExecution().toString()
     assert "Union" not in plan
 
