@@ -40,6 +40,8 @@ from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow
 from ledgerwatch.workspace import stage, staged
 
 BROADCAST_ROWS = 2_000_000
+#: Senders that a micro-batch must have events of before their times count as the time it is.
+SENDERS_TELL_TIME = 3
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -148,7 +150,7 @@ def velocity_stream(
 
 def refuse_known_future(lake: Lake, table: str, batch_id: int) -> None:
     """Raise if the table holds later micro-batches: another checkpoint has written it."""
-    if any(run > run_id(batch_id) for run in lake.runs("silver", table)):
+    if any(last > run_id(batch_id) for _, last, _, _ in lake.pieces("silver", table)):
         raise RuntimeError(f"{table} has micro-batches after {batch_id}: a new checkpoint needs a new table")
 
 
@@ -166,11 +168,13 @@ def decision_sink(decisions: DataFrame, lake: Lake, table: str = "block_decision
         refuse_known_future(lake, table, batch_id)
         if "late" not in batch.columns:
             lake.write(batch, "silver", table, batch_id)
-            return
-        # The state is gone through once, not once for each table.
-        with staged(batch, "judged") as (rows, _):
-            lake.write(rows.filter("late").select("transaction_id", "decided_at"), "silver", f"{table}_late", batch_id)
-            lake.write(rows.filter("not late").drop("late"), "silver", table, batch_id)
+        else:
+            # The state is gone through once, not once for each table.
+            with staged(batch, "judged") as (rows, _):
+                lake.write(rows.filter("late").select("transaction_id", "decided_at"), "silver", f"{table}_late", batch_id)
+                lake.write(rows.filter("not late").drop("late"), "silver", table, batch_id)
+            lake.compact("silver", f"{table}_late")
+        lake.compact("silver", table)
 
     return decisions.writeStream.outputMode("append").foreachBatch(write)
 
@@ -189,7 +193,8 @@ def start_velocity_job(
 
     Decisions go to ``silver/<table>``. The candidates that later events can still
     see go to ``silver/<table>_tail``: for each sender those of the window before its newest
-    event, and of ``lateness`` more, within which late events get their full count. As for
+    event, and of ``lateness`` more, within which late events get their full count. Senders whose
+    newest event is longer ago than that leave it, so the tail follows the active senders. As for
     :func:`decision_sink`, a new checkpoint needs a new ``table``.
     """
     lookup = start_lookup(customers, rule).withColumnRenamed("sender_iban", "iban")
@@ -207,10 +212,16 @@ def start_velocity_job(
             lake.write(decided, "silver", table, batch_id)
             # By each sender's own newest event: a wrong clock can't shorten the others' windows.
             newest = rows.groupBy(F.col("sender_iban").alias("sender")).agg(F.max("executed_at").alias("newest"))
+            # Senders that have been idle for longer leave altogether. The time that they are held
+            # against is the middle one of the new events, if these are of several senders.
+            now = rows.filter("fresh").agg(F.percentile_approx(micros(F.col("executed_at")), 0.5).alias("middle"), F.count_distinct("sender_iban").alias("senders")).first()
+            if now["senders"] >= SENDERS_TELL_TIME:
+                newest = newest.filter(F.col("newest") > from_micros(F.lit(now["middle"])) - F.lit(keep))
             seen = rows.join(newest, F.col("sender_iban") == F.col("sender"))
             seen = seen.filter(F.col("executed_at") > F.col("newest") - F.lit(keep))
             lake.write(seen.drop("fresh", "sender", "newest"), "silver", f"{table}_tail", batch_id)
         # A replay of this micro-batch needs the tail before it.
         lake.keep_newest("silver", f"{table}_tail", 3)
+        lake.compact("silver", table)
 
     return events.writeStream.outputMode("append").foreachBatch(decide)

@@ -435,6 +435,7 @@ STATEMENTS = {
            CAST(sum(amount_eur) OVER (PARTITION BY sender_iban_hmac ORDER BY executed_at
              RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS rolling_30d_cross_border_eur
     FROM crowded_open""",
+    "decisions_compacted": BLOCKS,
     "velocity_keyed": BLOCKS_BY_ARRIVAL,
     "velocity_recovered": BLOCKS_BY_ARRIVAL,
     "velocity_late_events": """

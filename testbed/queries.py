@@ -477,6 +477,17 @@ def velocity_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read_all("silver", "block_decisions").drop("decided_at")
 
 
+@query
+def decisions_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks that came in twenty micro-batches, one of them twice, after their folders were compacted."""
+    lake, blocks = new_lake(spark), stage(velocity_batch(spark, sf_dir), "blocks")
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(20))
+    for run in [*range(11), *range(10, 20)]:
+        lake.write(blocks.filter(part == run), "silver", "block_decisions", run)
+        lake.compact("silver", "block_decisions", fan=3)
+    return lake.read_all("silver", "block_decisions")
+
+
 @query
 def replays_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payments that are delivered again, within the delay and long after it, count once."""

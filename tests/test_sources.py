@@ -17,7 +17,7 @@ from ledgerwatch.schemas import (
     TRANSACTIONS,
 )
 from ledgerwatch.sources import bronze, exports, records
-from ledgerwatch.sources.lake import Lake, path_exists
+from ledgerwatch.sources.lake import Lake, path_exists, run_id
 from ledgerwatch.workspace import scratch_root, stage_counted, staged
 
 RUN = datetime(2024, 5, 1, 7)
@@ -255,3 +255,35 @@ def test_settlements_without_id_are_kept_apart(spark, tmp_path):
     write_file(spark, folder, "2024-01-02", [payment(None), payment("a", "2,00")])
     rows = bronze.load_settlements(spark, folder, RUN).collect()
     assert sorted(r.transaction_id or "" for r in rows) == ["", "", "", "a"]
+
+
+def test_compaction_bounds_the_folders_and_keeps_the_rows(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    for run in range(30):
+        lake.write(spark.createDataFrame([(run,)], "id int"), "silver", "t", run)
+        lake.compact("silver", "t", fan=3)
+        held = lake.pieces("silver", "t")
+        assert [p[1] for p in held[-2:]] == [run_id(r) for r in range(max(run - 1, 0), run + 1)]
+        assert len(held) <= 2 + 2 * 4
+        folders = [p.name for p in (tmp_path / "lake/silver/t").iterdir() if not p.name.startswith(".")]
+        assert len(folders) == len(held)
+    assert sorted(r.id for r in lake.read_all("silver", "t").collect()) == list(range(30))
+    assert sorted(r.id for r in lake.read_all("silver", "t", upto=run_id(28)).collect()) == list(range(29))
+    with pytest.raises(ValueError):
+        lake.read_all("silver", "t", upto=run_id(4))
+
+
+def test_a_compaction_that_breaks_off_doubles_nothing(spark, tmp_path):
+    """The folder of the range is committed, the single ones are still there; then one that is not committed."""
+    lake = Lake(spark, f"{tmp_path}/lake")
+    for run in range(4):
+        lake.write(spark.createDataFrame([(run,)], "id int"), "silver", "t", run)
+    both = spark.createDataFrame([(0,), (1,)], "id int").coalesce(1)
+    folder = f"{lake.folder('silver', 't')}/range=1_{run_id(0)}_{run_id(1)}"
+    both.write.parquet(folder)
+    assert sorted(r.id for r in lake.read_all("silver", "t").collect()) == [0, 1, 2, 3]
+    Path(f"{folder}/_SUCCESS").unlink()
+    assert sorted(r.id for r in lake.read_all("silver", "t").collect()) == [0, 1, 2, 3]
+    both.write.mode("overwrite").parquet(folder)
+    lake.compact("silver", "t")
+    assert [p[0] for p in lake.pieces("silver", "t")] == [run_id(0), run_id(2), run_id(3)] and lake.runs("silver", "t") == [run_id(2), run_id(3)]

@@ -375,3 +375,16 @@ def test_state_is_added_to_and_pruned(spark, tmp_path):
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert len(held) >= 5 and max(held) <= 80
     assert decided(lake) == simulate([event(k, "pep", T0 + timedelta(minutes=2 * k)) for k in range(100)])
+
+
+def test_idle_senders_leave_the_tail(spark, tmp_path):
+    folder, lake = f"{tmp_path}/feed", Lake(spark, f"{tmp_path}/lake")
+    rows = [(f"C-{i}", "a", "b", "e", "p", i, "x", "y", "FR", "HIGH", T0) for i in "abcd"]
+    owners = spark.createDataFrame(rows, CUSTOMERS)
+    for part in range(3):
+        senders = "abcd" if part == 0 else "abc"
+        land(spark, [event(10 * part + k, s, T0 + timedelta(hours=3 * part, minutes=k)) for k, s in enumerate(senders)], folder)
+    feed = file_events(spark, folder, frame(spark, []).schema, files_per_trigger=1)
+    drain(live.start_velocity_job(feed, owners, lake), f"{tmp_path}/checkpoint")
+    tail = lake.read("silver", "block_decisions_tail")
+    assert {r.sender_iban for r in tail.collect()} == {"a", "b", "c"}
