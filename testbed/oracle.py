@@ -325,6 +325,9 @@ STATEMENTS = {
     "src_settlements_merge_latest": f"""
     SELECT {COLUMNS}, {RUN} AS loaded_at FROM settlement_files
     QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY file_date DESC) = 1""",
+    "src_settlements_incremental": f"""
+    SELECT {COLUMNS}, {RUN} + to_hours(CAST(day(file_date) * 2 % 3 AS INTEGER)) AS loaded_at, file_date FROM settlement_files
+    QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY file_date DESC) = 1""",
     "risk_lookup": "SELECT iban, risk_tier FROM raw_customers",
     "block_overlay": """
     SELECT transaction_id, sender_iban, beneficiary_iban, amount, currency, payment_channel,

@@ -192,6 +192,17 @@ def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.read_customers_csv(spark, path)
 
 
+@query
+def src_settlements_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each after a third of the daily files has come, in no order of days."""
+    lake, folder = new_lake(spark), new_folder(spark, "settlements")
+    files = stage(bank.settlement_files(spark, sf_dir), "settlements")
+    for load in range(3):
+        exports.export_settlements(files.filter(F.dayofmonth("file_date") * 2 % 3 == load), f"{folder}/drop{load}")
+        rows = bronze.add_settlement_files(lake, folder, bank.RUN_TS + timedelta(hours=load))
+    return rows
+
+
 @query
 def settlement_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of all days, and then one day exported again with other amounts."""

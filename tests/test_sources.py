@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import json
+import os
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -287,3 +288,31 @@ def test_a_compaction_that_breaks_off_doubles_nothing(spark, tmp_path):
     both.write.mode("overwrite").parquet(folder)
     lake.compact("silver", "t")
     assert [p[0] for p in lake.pieces("silver", "t")] == [run_id(0), run_id(2), run_id(3)] and lake.runs("silver", "t") == [run_id(2), run_id(3)]
+
+
+def test_new_settlement_files_are_merged_and_old_ones_not_opened(spark, tmp_path):
+    folder, lake = f"{tmp_path}/drops", Lake(spark, f"{tmp_path}/lake")
+
+    def drop(day, rows):
+        full = [(i, "FR1", "FR2", a, "EUR", "SEPA", "SETTLED", None, RUN) for i, a in rows]
+        spark.createDataFrame(full, TRANSACTIONS).coalesce(1).write.parquet(f"{folder}/file_date={day}")
+
+    def loaded(hour):
+        rows = bronze.settlements_to_bronze(lake, folder, RUN + timedelta(hours=hour), "incremental")
+        return sorted((r.transaction_id or "", r.amount, r.loaded_at.hour - RUN.hour) for r in rows.collect())
+
+    assert loaded(0) == []
+    drop("2024-01-05", [("a", "5"), ("b", "5"), (None, "5")])
+    assert loaded(1) == [("", "5", 1), ("a", "5", 1), ("b", "5", 1)]
+    drop("2024-01-04", [("a", "4"), ("c", "4"), (None, "4")])
+    drop("2024-01-06", [("b", "6")])
+    # The first file's rows are in the table; the file itself may be unreadable by now.
+    for file in Path(f"{folder}/file_date=2024-01-05").glob("*.parquet"):
+        stat = file.stat()
+        file.write_bytes(b"x" * stat.st_size)
+        os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    want = [("", "4", 2), ("", "5", 1), ("a", "5", 1), ("b", "6", 2), ("c", "4", 2)]
+    assert bronze.new_settlement_files(lake, folder).count() == 2
+    assert loaded(2) == want and loaded(2) == want  # a retried run replaces its own
+    assert loaded(3) == want
+    assert bronze.new_settlement_files(lake, folder).isEmpty()
