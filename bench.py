@@ -24,6 +24,7 @@ HEADLINES = [
     "rolling_30d",
     "aml_alerts",
     "velocity_batch",
+    "velocity_batch_sliced",
     "velocity_stream",
     "src_settlements_merge_latest",
     "insert_absent_txns",
