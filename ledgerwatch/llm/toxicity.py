@@ -1,8 +1,10 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Three parts of the labelled training rows, by hash, teach three things, so none is judged on
-rows it has seen: a lexicon (words and word beginnings that toxic documents have far more
-often than others), the trees, and the calibration from the trees' score to a probability.
+The lexicon holds words and word beginnings that toxic documents have far more often than
+others. Texts are scored with the lexicon of all labelled training rows. For learning, these
+rows are dealt into four parts by hash, and the features of each part come from the lexicon of
+the other three, so no row is judged by a lexicon that has seen it. Three parts teach the
+trees, and the fourth the calibration from the trees' score to a probability.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,12 @@ from ledgerwatch.workspace import stage
 
 #: Labelled documents that are learned from, taken in order of a hash of the id.
 MAX_TRAINING = 60_000
-#: Entries of the lexicon, of each kind.
-MAX_LEXICON = 4_000
 #: A lexicon entry is in so many toxic documents, and so much likelier in them.
 LEAST_DOCS, LEAST_ODDS = 3, 5.0
 #: Characters of a word's beginning.
 BEGINNING = 5
+#: Parts of the training rows; the last one is for calibration.
+PARTS = 4
 #: Words to either side of a second-person pronoun that count as near.
 NEAR = 5
 TREES, DEPTH = 24, 4
@@ -53,29 +56,44 @@ def plain_word(raw: str) -> str:
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        toxic, kind, entry = [], [], []
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+        toxic, kind, entry, part = [], [], [], []
+        for text, label, own in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "part"))):
             found = {plain_word(w) for w in set((text or "").split())} - {""}
             for k, s in (("word", found), ("start", {w[:BEGINNING] for w in found if len(w) > BEGINNING})):
                 entry += s
                 kind += [k] * len(s)
                 toxic += [label] * len(s)
-        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(entry, pa.string()), pa.array(toxic, pa.int64())], names=["kind", "entry", "toxic"])
+                part += [own] * len(s)
+        columns = [pa.array(kind, pa.string()), pa.array(entry, pa.string()), pa.array(toxic, pa.int64()), pa.array(part, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "entry", "toxic", "part"])
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, dict[str, float]]:
-    """Log odds of words and beginnings from (``text``, ``toxic``); at most ``MAX_LEXICON`` of each."""
-    totals = rows.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
-    bad, good = totals["bad"] or 0, totals["good"] or 0
-    seen = rows.mapInArrow(_words, "kind string, entry string, toxic long").groupBy("kind", "entry")
-    seen = seen.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    ratio = ((F.col("bad") + 0.5) / (bad + 1.0)) / ((F.col("good") + 0.5) / (good + 1.0))
-    seen = seen.select("kind", "entry", "bad", F.log(ratio).alias("weight")).where((F.col("bad") >= LEAST_DOCS) & (F.exp("weight") >= LEAST_ODDS))
-    out: dict[str, dict[str, float]] = {"word": {}, "start": {}}
-    for kind in out:
-        best = seen.where(F.col("kind") == kind).orderBy(F.desc(F.col("bad") * F.col("weight")), "entry").limit(MAX_LEXICON)
-        out[kind] = {r["entry"]: r["weight"] for r in best.collect()}
-    return out
+Lexicon = dict[str, dict[str, float]]
+
+
+def learn_lexicons(rows: DataFrame) -> tuple[Lexicon, list[Lexicon]]:
+    """Log odds of words and beginnings from (``part``, ``text``, ``toxic``): of all rows, and without each part.
+
+    Every entry with enough evidence is in. Their number is bounded by the text of the rows, at
+    most ``MAX_TRAINING`` documents, of which each entry needs ``LEAST_DOCS`` toxic ones.
+    """
+    held: list[Lexicon] = [{"word": {}, "start": {}} for _ in range(PARTS + 1)]
+    bad, good = F.col("toxic"), 1 - F.col("toxic")
+    sides = [F.when(F.col("part") != k, 1).otherwise(0) for k in range(PARTS)] + [F.lit(1)]
+    sums = [F.sum(v * side).alias(f"{name}{k}") for k, side in enumerate(sides) for name, v in (("bad", bad), ("good", good))]
+    totals = rows.agg(*sums).first()
+    seen = rows.mapInArrow(_words, "kind string, entry string, toxic long, part long").groupBy("kind", "entry").agg(*sums)
+    weights = []
+    for k in range(PARTS + 1):
+        of = lambda name: (F.col(f"{name}{k}") + 0.5) / ((totals[f"{name}{k}"] or 0) + 1.0)  # noqa: B023, E731
+        weight = F.log(of("bad") / of("good"))
+        weights.append(F.when((F.col(f"bad{k}") >= LEAST_DOCS) & (F.exp(weight) >= LEAST_ODDS), weight).alias(f"w{k}"))
+    known = seen.select("kind", "entry", *weights).where(F.coalesce(*[f"w{k}" for k in range(PARTS + 1)]).isNotNull())
+    for row in known.collect():
+        for k in range(PARTS + 1):
+            if row[f"w{k}"] is not None:
+                held[k][row["kind"]][row["entry"]] = row[f"w{k}"]
+    return held[PARTS], held[:PARTS]
 
 
 class Features:
@@ -83,7 +101,7 @@ class Features:
 
     REMEMBERED = 400_000
 
-    def __init__(self, lexicon: dict[str, dict[str, float]]):
+    def __init__(self, lexicon: Lexicon):
         self.lexicon, self.memory, self.table = lexicon, {}, array("d")
 
     def _meet(self, raw: str) -> int:
@@ -141,7 +159,7 @@ class Features:
         return out
 
 
-def featured(rows: DataFrame, lexicon: dict[str, dict[str, float]], keep: str) -> DataFrame:
+def featured(rows: DataFrame, lexicon: Lexicon, keep: str) -> DataFrame:
     """``rows`` (``keep`` columns and ``text``) with a column per feature in place of the text."""
     names = [f.split()[0] for f in keep.split(", ")]
 
@@ -163,7 +181,7 @@ def remainder(id_column: Column) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % 3
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[dict, object, object]:
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, object, object]:
     """Lexicon, trees and calibration from ``docs`` (``id``, ``text``) and ``labels`` (``id``, ``toxic``).
 
     Rows whose :func:`remainder` is 1 are never read. Learns from the first ``MAX_TRAINING``
@@ -172,20 +190,21 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict, object, object]:
     usable = labels.where(F.col("toxic").isin(0, 1) & (remainder(F.col("id")) != 1)).groupBy("id").agg(F.max("toxic").cast("long").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("id"), "id").limit(MAX_TRAINING)
     rows = docs.join(chosen.withColumnRenamed("id", "labelled"), docs.id == F.col("labelled")).select("id", "text", "toxic")
-    rows = stage(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(4))), "toxic-training")
-    lexicon = learn_lexicon(rows.where("part = 0"))
-    table = featured(rows.where("part > 0"), lexicon, "part long, toxic long")
+    rows = stage(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(PARTS))), "toxic-training")
+    lexicon, without = learn_lexicons(rows)
+    parts = [featured(rows.where(F.col("part") == k), without[k], "part long, toxic long") for k in range(PARTS)]
+    table = reduce(DataFrame.unionByName, parts)
     table = stage(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(table).select("part", "toxic", "features"), "toxic-features")
     table = table.coalesce(4)
     if table.select("toxic").distinct().count() < 2:
         return lexicon, None, None
-    trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(table.where("part < 3"))
-    judged = trees.transform(table.where("part = 3")).select(F.col("toxic").cast("double").alias("toxic"), vector_to_array("probability")[1].alias("raw"))
+    trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(table.where(F.col("part") < PARTS - 1))
+    judged = trees.transform(table.where(F.col("part") == PARTS - 1)).select(F.col("toxic").cast("double").alias("toxic"), vector_to_array("probability")[1].alias("raw"))
     scale = IsotonicRegression(labelCol="toxic", featuresCol="raw", predictionCol="score").fit(judged)
     return lexicon, trees, scale
 
 
-def score(docs: DataFrame, model: tuple[dict, object, object]) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Lexicon, object, object]) -> DataFrame:
     """``id``, ``score`` and ``predicted`` for every row of ``docs`` (``id``, ``text``). Null texts are empty."""
     lexicon, trees, scale = model
     table = featured(docs, lexicon, "id long")

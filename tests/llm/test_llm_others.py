@@ -296,3 +296,40 @@ def test_pipeline(spark):
         counts.append(step.count())
     assert counts[0] < docs.count() and counts[1] <= counts[0] and counts[2] == counts[1] and counts[4] == counts[3]
     assert corpus_pipeline.run(spark, SMALL).count() == counts[4]
+
+
+def test_lexicon_without_a_part_has_not_seen_it(spark):
+    words = ["vile", "grim", "calm", "blue"]
+    rows = [(i % 4, f"{words[i % 4]} shared {words[(i // 4) % 4]}", int((i // 4) % 3 == 0)) for i in range(96)]
+    rows += [(2, "unseenelsewhere", 1)] * 5 + [(k, "loathsome", 1) for k in range(4)] + [(k, "loathsome", 0) for k in (0,)]
+    every, without = toxicity.learn_lexicons(spark.createDataFrame(rows, "part long, text string, toxic long"))
+
+    def plain(skip):
+        bad, good, totals = {}, {}, [0, 0]
+        for part, text, toxic in rows:
+            if part != skip:
+                totals[toxic] += 1
+                for word in set(text.split()):
+                    side = bad if toxic else good
+                    side[word] = side.get(word, 0) + 1
+        odds = {w: ((n + 0.5) / (totals[1] + 1)) / ((good.get(w, 0) + 0.5) / (totals[0] + 1)) for w, n in bad.items() if n >= toxicity.LEAST_DOCS}
+        return {w: np.log(o) for w, o in odds.items() if o >= toxicity.LEAST_ODDS}
+
+    assert every["word"] == pytest.approx(plain(None)) and "unseenelsewhere" in every["word"]
+    for k in range(toxicity.PARTS):
+        assert without[k]["word"] == pytest.approx(plain(k))
+    assert "unseenelsewhere" not in without[2]["word"] and "unseenelsewhere" in without[0]["word"]
+
+
+def test_toxicity_ties_and_repeats(spark):
+    """Rows with the same text have one score; a document with both labels is toxic; repeated rows repeat."""
+    docs = [(i, f"{'vile scum ' * 3 if i % 4 == 0 else 'quiet green field '}{i % 7}") for i in range(240)]
+    labels = [(i, int(i % 4 == 0)) for i in range(240)] + [(4, 0), (8, 0), (8, 1)]
+    frame = spark.createDataFrame(docs + docs[:9], "doc_id long, text string")
+    out = toxicity.toxicity(frame, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert sorted(r["id"] for r in out) == sorted(d[0] for d in docs + docs[:9])
+    by_text: dict[str, set[float]] = {}
+    for r in out:
+        by_text.setdefault(docs[r["id"]][1], set()).add(r["score"])
+    assert all(len(v) == 1 for v in by_text.values())
+    assert all(r["predicted"] == (r["id"] % 4 == 0) for r in out)
