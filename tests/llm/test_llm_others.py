@@ -5,11 +5,15 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
@@ -333,3 +337,32 @@ def test_toxicity_ties_and_repeats(spark):
         by_text.setdefault(docs[r["id"]][1], set()).add(r["score"])
     assert all(len(v) == 1 for v in by_text.values())
     assert all(r["predicted"] == (r["id"] % 4 == 0) for r in out)
+
+
+# What a comment, declaration or tag is, as one pattern; slow on broken pages.
+PLAIN_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+BITS = ["<a ", "<a>", "</a>", "<", ">", "'", '"', " x", "/", "=", "<!--", "-->", "<!", "<?", "</p", "<P\n", "<b c='d>'>", "< 5", "é", "<é>"]
+
+
+@given(st.lists(st.sampled_from(BITS), max_size=20).map("".join))
+@settings(max_examples=500, deadline=None)
+def test_tags_against_one_pattern(page):
+    tags, found, at = html_extraction._Tags(page), [], 0
+    while one := tags.after(at):
+        found.append(one)
+        at = one[1]
+    plain = [(m.start(), m.end(), m[1] == "/", (m[2] or "").lower(), m[3] or "") for m in PLAIN_TAG.finditer(page)]
+    # The pattern may give up a part of a name with quotes for what follows; names here are whole.
+    if not any(set("'\"") & set(re.match(r"<?/?([^\s/>]*)", page[i:])[1]) for i in range(len(page)) if page[i] == "<"):
+        assert found == plain
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a '" * 250_000 + ">", "<a " * 300_000 + "' >", "<!" * 500_000, "<div>" * 100_000 + "</x>" * 100_000,
+    "<p><button>" + "<span>" * 80_000 + "<h2>x</h2>" * 50_000, "<div class=ad>" * 40_000 + "x</div>" * 40_000, "w " * 500_000,
+])
+def test_a_megabyte_of_broken_markup(page):
+    """Each takes well below a second; by the square it would be minutes."""
+    start = time.perf_counter()
+    html_extraction.page_blocks(page)
+    assert time.perf_counter() - start < 5
