@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.quality_rules import SPACE_PATTERN, SPACES
-from ledgerwatch.workspace import stage
+from ledgerwatch.workspace import stage, stage_counted
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
+#: Up to so many sources, what is known of each is broadcast; beyond, its rows are dealt over ``SALTS`` tasks.
+FEW_SOURCES = 20_000
+SALTS = 32
 #: Intervals of the rank that a step looks at.
 BINS = 4096
 
@@ -61,6 +64,15 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return out.select("source", "source_size", target.alias("target"))
 
 
+def _beside(rows: DataFrame, facts: DataFrame, count: int, how: str = "inner", on: str = "true") -> DataFrame:
+    """``rows`` as ``r`` joined to ``facts`` as ``f``, which has one row per source, so that a source of any size is in many tasks."""
+    if count <= FEW_SOURCES:
+        return rows.alias("r").join(F.broadcast(facts.alias("f")), F.expr(f"r.`from` <=> f.source and {on}"), how)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "digest"), F.lit(SALTS)).cast("int"))
+    facts = facts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.alias("r").join(facts.alias("f"), F.expr(f"r.`from` <=> f.source and r.salt = f.salt and {on}"), how)
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", preference: Column | None = None,
     weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
@@ -82,8 +94,8 @@ def mix(
     sums = drawn.groupBy(F.col("from").alias("source")).agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("liked")).alias("liked_size"))
     sums = stage(sums, "mix-sources")
     plan = targets(sums.select("source", "source_size"), weights, share, most).alias("t").join(sums.alias("s"), F.expr("t.source <=> s.source"))
-    plan = stage(plan.select("t.source", "t.source_size", "target", F.when(F.col("liked_size") > 0, F.col("target") / F.col("liked_size")).otherwise(0.0).alias("rate")), "mix-targets")
-    ranked = drawn.join(plan, F.expr("`from` <=> source")).drop("source")
+    plan, count = stage_counted(plan.select("t.source", "t.source_size", "target", F.when(F.col("liked_size") > 0, F.col("target") / F.col("liked_size")).otherwise(0.0).alias("rate")), "mix-targets")
+    ranked = _beside(drawn, plan, count).select("r.id", "digest", "from", "size", "liked", "u", "source_size", "target", "rate")
     expected = F.least(F.lit(float(most)), F.col("rate") * F.col("liked"))
     ranked = ranked.withColumn("whole", F.floor(expected)).withColumn("p", expected - F.col("whole"))
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
@@ -91,9 +103,9 @@ def mix(
     ranked = ranked.withColumn("bin", F.floor(F.col("rank") * BINS)).withColumn("fine", F.floor(F.col("rank") * BINS * BINS))
     whole = ranked.groupBy(F.col("from").alias("source")).agg((F.max("target") - F.sum(F.col("whole") * F.col("size"))).alias("want"))
     first = _crossing(ranked, whole, "bin")
-    inside = ranked.alias("r").join(first.alias("f"), F.expr("r.`from` <=> f.source and r.bin = f.bin")).select("r.*")
+    inside = _beside(ranked, first, count, on="r.bin = f.bin").select(*[f"r.{c}" for c in ranked.columns])
     second = _crossing(inside, first.select("source", F.col("left").alias("want")), "fine")
-    last = inside.alias("r").join(second.alias("f"), F.expr("r.`from` <=> f.source and r.fine = f.fine")).select("r.*", "f.left")
+    last = _beside(inside, second, count, on="r.fine = f.fine").select("r.from", "r.rank", "r.size", "f.left")
     ties = last.groupBy("from", "rank").agg(F.sum("size").alias("size"), F.max("left").alias("left"))
     run = Window.partitionBy("from").orderBy("rank")
     ties = ties.select("*", F.sum("size").over(run).alias("upto"))
@@ -103,7 +115,7 @@ def mix(
     cut = good.groupBy(F.col("from").alias("source")).agg(F.max("rank").alias("cut"))
     edge = second.select("source", (F.col("fine") / float(BINS * BINS)).alias("edge")).alias("e").join(cut.alias("c"), F.expr("e.source <=> c.source"), "left")
     edge = edge.select("e.source", F.coalesce("cut", F.lit(-1.0)).alias("cut"), "edge")
-    out = ranked.alias("r").join(edge.alias("e"), F.expr("r.`from` <=> e.source"), "left")
+    out = _beside(ranked, edge, count, "left")
     chosen = F.coalesce((F.col("rank") < F.col("edge")) | (F.col("rank") <= F.col("cut")), F.lit(False))
     return out.select("id", "digest", "from", "size", "source_size", "target", (F.col("whole") + chosen.cast("long")).alias("copies"))
 

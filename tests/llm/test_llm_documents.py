@@ -191,6 +191,13 @@ def test_mixing(docs):
     assert mixed.count() == sum(r["copies"] for r in out)
 
 
+def test_mixing_with_many_sources(docs, monkeypatch):
+    """Beyond ``FEW_SOURCES`` the rows of a source are dealt over salts; the result is the same."""
+    plain = sorted(map(tuple, mixing.mix(docs).collect()), key=str)
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=str) == plain
+
+
 def test_mixing_prefers(spark):
     rows = [(i, "w " * 10, "a" if i % 2 else "b") for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
