@@ -10,6 +10,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.operators.upserts import absent_rows
+from ledgerwatch.workspace import stage
+
 
 class QualityError(Exception):
     """Raised by :func:`run_checks` when a check fails."""
@@ -153,6 +156,37 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str = "table") ->
     return df.sparkSession.createDataFrame(lines, report.schema)
 
 
+def split_at_load(
+    df: DataFrame, checks: Sequence[Check], order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows that a table with these constraints takes, and the others with the reason.
+
+    Rows are inserted one by one in ``order``; equal ones come in any fixed order. A row that
+    fails a row check is not inserted and holds no key. Of the others, one is refused if a row
+    inserted before has the same value in a column with a ``unique`` check; NULL repeats nothing.
+    """
+    keys = [check.column for check in checks if check.kind == "unique"]
+    single = [check for check in checks if check.kind not in ("unique", "row_count")]
+    names = F.array_compact(F.array(*(F.when(c.violation(), c.name) for c in single)))
+    place = F.struct(*order, F.monotonically_increasing_id().alias("_row"))
+    # Written once, so that a row keeps its number.
+    marked = stage(df.withColumns({"reason": F.array_join(names, "; "), "_arrival": place}), "load")
+    passed = marked.filter(F.col("reason") == "")
+    bad = marked.filter(F.col("reason") != "").select(*df.columns, "reason")
+    if not keys:
+        return passed.select(*df.columns), bad
+    added = absent_rows(passed.limit(0), passed, [[key] for key in keys], "_arrival")
+    added = stage(added, "loaded")
+    refused = passed.join(added.select("_arrival"), "_arrival", "left_anti")
+    held = []
+    for key in keys:
+        holder = added.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.lit(unique(key).name).alias(f"_why{len(held)}"))
+        refused = refused.join(holder, F.col(key) == F.col("_key"), "left").drop("_key")
+        held.append(f"_why{len(held)}")
+    refused = refused.withColumn("reason", F.concat_ws("; ", *held)).select(*df.columns, "reason")
+    return added.select(*df.columns), bad.unionByName(refused)
+
+
 def split_by_checks(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
     """Rows that pass all row checks, and the others with the names of what they fail."""
     names = F.array_compact(F.array(*(F.when(c.violation(), c.name) for c in checks)))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.marts import aml_alerts, fct_transactions
-from ledgerwatch.operators.quality import Check, run_checks
+from ledgerwatch.operators.quality import Check, run_checks, split_at_load
 from ledgerwatch.operators.reconcile import reconcile_raw
 from ledgerwatch.operators.snapshots import (
     CUSTOMER_CHECKS,
@@ -33,6 +33,8 @@ T = TypeVar("T")
 RECONCILED = "reconciled_transactions"
 OPEN_VERSIONS = "snap_customers_open"
 CLOSED_VERSIONS = "snap_customers_closed"
+#: Layer of the rows that the constraints of the source tables refuse.
+QUARANTINE = "quarantine"
 
 
 @dataclass(frozen=True)
@@ -111,12 +113,17 @@ def run_batch(
     rule: CrossBorderRule = CrossBorderRule(),
     check: bool = True,
     versions: int | None = None,
+    constrain: bool = False,
 ) -> dict[str, DataFrame]:
     """Run the whole pipeline into ``lake`` and return its gold tables.
 
     ``versions`` is the number of newest bronze and silver versions that are kept once
     the run is through, None for all. Gold tables and the history are never pruned.
 
+    With ``constrain``, customers and transactions pass the constraints of their source tables
+    first, as when inserted row by row by time; what these refuse goes to the layer
+    ``quarantine`` with the reason, and the run goes on with the others.
+
     A check that fails raises and stops the run before the next layer. Running the
     same ``run_ts`` again gives the same tables, and unchanged customers add no
     versions.
@@ -126,12 +133,25 @@ def run_batch(
     live = sources.transactions
     if sources.decisions is not None:
         live = apply_block_decisions(live, sources.decisions)
+    customers = sources.customers
+    if constrain:
+
+        def constrained(rows: DataFrame, name: str, checks: list[Check], time: str) -> DataFrame:
+            good, bad = split_at_load(rows, checks, [time])
+            lake.write(bad, QUARANTINE, name, run_ts)
+            return good
+
+        customers, live = _together(
+            lambda: constrained(customers, "raw_customers", declared.SOURCE_CUSTOMERS, "created_at"),
+            lambda: constrained(live, "raw_transactions", declared.SOURCE_TRANSACTIONS, "executed_at"),
+        )
+    given_customers, given_transactions = customers, live
     settlements, customers, transactions = _together(
         lambda: settlements_to_bronze(
             lake, sources.settlement_folder, run_ts, sources.settlement_mode
         ),
-        lambda: extract_to_bronze(sources.customers, lake, "raw_customers", run_ts),
-        lambda: extract_to_bronze(live, lake, "raw_transactions", run_ts),
+        lambda: extract_to_bronze(given_customers, lake, "raw_customers", run_ts),
+        lambda: extract_to_bronze(given_transactions, lake, "raw_transactions", run_ts),
     )
     views = staging_views(lake, key)
     register_views(views)

@@ -477,6 +477,16 @@ STATEMENTS = {
       CASE WHEN amount_eur < 0 THEN 'between(amount_eur)' END,
       CASE WHEN status = 'LOST' THEN 'accepted(status)' END) AS reason FROM dirty_payments)
     WHERE reason <> ''""",
+    "dq_at_load": """
+    SELECT event_id, transaction_id, CASE WHEN reason = '' AND row_number() OVER (PARTITION BY transaction_id, reason = '' ORDER BY event_id) > 1
+      THEN 'unique(transaction_id)' ELSE reason END AS reason
+    FROM (SELECT event_id, transaction_id, concat_ws('; ',
+      CASE WHEN transaction_id IS NULL THEN 'not_null(transaction_id)' END,
+      CASE WHEN sender_iban_hmac IS NULL THEN 'not_null(sender_iban_hmac)' END,
+      CASE WHEN length(sender_iban_hmac) <> 64 THEN 'length(sender_iban_hmac)' END,
+      CASE WHEN amount_eur IS NULL THEN 'not_null(amount_eur)' END,
+      CASE WHEN amount_eur < 0 THEN 'between(amount_eur)' END,
+      CASE WHEN status = 'LOST' THEN 'accepted(status)' END) AS reason FROM dirty_payments)""",
     "kpi_totals": """
     SELECT count(*) AS total_transactions, count(*) FILTER (final_status = 'BLOCKED') AS flagged_transactions,
            count(*) FILTER (final_status = 'BLOCKED') / count(*) AS fraud_rate FROM facts""",

@@ -625,6 +625,15 @@ def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("event_id", "reason")
 
 
+@query
+def dq_at_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded rows, with an empty reason, and refused ones, also for a key that a loaded row holds."""
+    rows = bank.dirty_payments(spark, sf_dir)
+    good, bad = quality.split_at_load(rows, declared.STG_TRANSACTIONS, ["event_id"])
+    every = good.withColumn("reason", F.lit("")).unionByName(bad)
+    return every.select("event_id", "transaction_id", "reason")
+
+
 # Dashboard
 
 

@@ -161,3 +161,18 @@ def test_a_run_that_breaks_off_leaves_the_history_as_it_was(spark, tmp_path, mon
     with pytest.raises(OSError):
         history_run(lake, "PEP", datetime(2024, 1, 2))
     assert [r.valid_to for r in customer_history(lake).collect()] == [None]
+
+
+def test_constraints_keep_broken_rows_out_of_a_run(spark, tmp_path):
+    lake = Lake(spark, f"{tmp_path}/lake")
+    given = sources(spark, f"{tmp_path}/settlements")
+    clean = batch.run_batch(Lake(spark, f"{tmp_path}/clean"), given, bank.KEY, bank.RUN_TS)
+    again = given.transactions.limit(5).withColumn("executed_at", F.col("executed_at") + F.expr("INTERVAL 1 DAY"))
+    nameless = given.transactions.limit(4).withColumn("transaction_id", F.lit(None).cast("string"))
+    broken = replace(given, transactions=given.transactions.unionByName(again).unionByName(nameless))
+    gold = batch.run_batch(lake, broken, bank.KEY, bank.RUN_TS, constrain=True)
+    for name in ("fct_transactions", "fct_daily_aml_alerts"):
+        assert same(gold[name], clean[name])
+    refused = lake.read(batch.QUARANTINE, "raw_transactions")
+    assert {r["reason"]: r["count"] for r in refused.groupBy("reason").count().collect()} == {"unique(transaction_id)": 5, "not_null(transaction_id)": 4}
+    assert lake.read(batch.QUARANTINE, "raw_customers").isEmpty()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -139,3 +141,43 @@ def test_unknown_kind():
         q.Check("other", "x").violation()
 
 
+
+
+def test_constraints_at_load_act_as_inserting_row_by_row(spark):
+    """Two unique keys: a row that was refused holds none of its keys."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        key = rng.choice([None, *range(90)])
+        other = rng.choice([None, *(f"i{n}" for n in range(120))])
+        rows.append((i // 2, key, other, rng.choice(["a", "b", "bad", None])))
+    rows += [(7, 500, "same", "a")] * 3
+    checks = [q.unique("key"), q.unique("other"), q.not_null("key"), q.accepted("kind", ["a", "b"]), q.row_count(low=1)]
+    df = spark.createDataFrame(rows, "time int, key int, other string, kind string").coalesce(1)
+    good, bad = q.split_at_load(df, checks, ["time"])
+    keys, others, loaded, refused = set(), set(), [], []
+    for row in sorted(rows, key=lambda r: r[0]):  # stable: equal times in the given order
+        why = ["not_null(key)"] * (row[1] is None) + ["accepted(kind)"] * (row[3] == "bad")
+        if why:
+            refused.append((*row, "; ".join(why)))
+        elif row[1] in keys or row[2] is not None and row[2] in others:
+            refused.append((*row, None))
+        else:
+            loaded.append(row)
+            keys.add(row[1])
+            others.add(row[2])
+    for i, row in enumerate(refused):
+        if row[4] is None:
+            why = ["unique(key)"] * (row[1] in keys) + ["unique(other)"] * (row[2] is not None and row[2] in others)
+            refused[i] = (*row[:4], "; ".join(why))
+    assert Counter(map(tuple, good.collect())) == Counter(loaded)
+    assert Counter(map(tuple, bad.collect())) == Counter(refused)
+    assert good.columns == df.columns and bad.columns == [*df.columns, "reason"]
+
+
+def test_constraints_at_load_without_rows_or_keys(spark):
+    empty = spark.createDataFrame([], "time int, key int")
+    assert [part.count() for part in q.split_at_load(empty, [q.unique("key")], ["time"])] == [0, 0]
+    rows = spark.createDataFrame([(1, None), (1, None), (2, 5)], "time int, key int")
+    assert [part.count() for part in q.split_at_load(rows, [q.unique("key")], ["time"])] == [3, 0]
+    assert [part.count() for part in q.split_at_load(rows, [q.not_null("key")], ["time"])] == [1, 2]
