@@ -79,7 +79,7 @@ def staged(source: str, ingested: str) -> str:
     FROM {source}"""
 
 
-def merged(settlements: str) -> str:
+def merged(settlements: str, transactions: str = "stg_transactions") -> str:
     """Full outer join of the staged sides, as two halves."""
     shared = (
         "sender_iban_hmac, sender_iban_truncated, beneficiary_iban_hmac, "
@@ -92,11 +92,11 @@ def merged(settlements: str) -> str:
                 ELSE a.status END AS final_status,
            a.blocked_reason, a.executed_at, a.is_cross_border,
            TRUE AS seen_in_stream, b.transaction_id IS NOT NULL AS seen_in_settlement
-    FROM stg_transactions a LEFT JOIN {settlements} b USING (transaction_id)
+    FROM {transactions} a LEFT JOIN {settlements} b USING (transaction_id)
     UNION ALL
     SELECT transaction_id, {shared}, amount_eur, currency, payment_channel, 'SETTLED',
            NULL, executed_at, is_cross_border, FALSE, TRUE
-    FROM {settlements} WHERE transaction_id NOT IN (SELECT transaction_id FROM stg_transactions)"""
+    FROM {settlements} WHERE transaction_id NOT IN (SELECT transaction_id FROM {transactions})"""
 
 
 OPEN_CANDIDATES = "is_cross_border AND final_status <> 'BLOCKED'"
@@ -197,6 +197,8 @@ TABLES = {
             .replace('status, blocked_reason', '''CASE WHEN event_count > 0 THEN 'BLOCKED' ELSE status END AS status,
            coalesce(k.blocked_reason, f.blocked_reason) AS blocked_reason''')}
     FROM feed f LEFT JOIN blocks k ON k.transaction_id = f.transaction_id""",
+    "stg_decided": staged("decided", RUN),
+    "reconciled_decided": merged("stg_settlements", "stg_decided"),
     "settlement_files": f"""
     SELECT * REPLACE ('SETTLED' AS status), CAST(executed_at AS DATE) + k AS file_date FROM (
     SELECT p.*, k FROM (SELECT unnest([1, 2, 3]) AS k) days, LATERAL (
@@ -513,6 +515,16 @@ STATEMENTS = {
     "live_velocity_alerts": """
     SELECT transaction_id, sender_iban, executed_at, blocked_reason FROM decided
     WHERE blocked_reason LIKE 'VELOCITY_RULE%'""",
+    "batch_facts_after_stream": """
+    SELECT r.*, customer_id, risk_tier
+    FROM reconciled_decided r LEFT JOIN stg_customers ON iban_hmac = sender_iban_hmac""",
+    "batch_alerts_after_stream": f"""
+    SELECT a.*, customer_id, risk_tier, 'CUMULATIVE_CROSS_BORDER_10K' AS rule_code, {RUN} AS detected_at
+    FROM (SELECT sender_iban_hmac, sender_iban_truncated, transaction_id, amount_eur, executed_at,
+                 CAST(sum(amount_eur) OVER (PARTITION BY sender_iban_hmac ORDER BY executed_at
+                   RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS DECIMAL(28,2)) AS rolling_30d_cross_border_eur
+          FROM reconciled_decided WHERE {OPEN_CANDIDATES}) a
+    LEFT JOIN stg_customers ON iban_hmac = sender_iban_hmac WHERE rolling_30d_cross_border_eur > 10000""",
     "batch_run": """
     SELECT 'fct_transactions' AS table_name, count(*) AS n_rows,
            CAST(sum(amount_eur) AS DECIMAL(38,2)) AS total FROM facts

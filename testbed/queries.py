@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.errors import StreamingQueryException
@@ -693,6 +694,36 @@ def live_velocity_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The whole run
 
 
+def batches_around_stream(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Gold tables of the second of two batches: the stream decides between them, and more settlement files come in."""
+    lake, folder = new_lake(spark), new_folder(spark, "settlements")
+    dated = F.date_add(F.col("executed_at").cast("date"), 2)
+    settled = bank.raw_settlements(spark, sf_dir).withColumn("file_date", dated)
+    early = F.col("file_date") < "2024-01-20"
+    customers = bank.raw_customers(spark, sf_dir)
+    payments = bank.velocity_payments(spark, sf_dir).select(*TRANSACTION_COLUMNS)
+    sources = batch.Sources(customers, payments, folder, settlement_mode="incremental")
+    exports.export_settlements(settled.filter(early), folder)
+    batch.run_batch(lake, sources, bank.KEY, bank.RUN_TS - timedelta(minutes=30))
+    files = events.file_events(spark, f"{sf_dir}/event[s].parquet", bank.EVENTS, files_per_trigger=None)
+    job = live.start_velocity_job(bank.velocity_feed(files), customers, lake)
+    job = job.option("checkpointLocation", new_folder(spark, "velocity-checkpoint"))
+    job.trigger(availableNow=True).start().awaitTermination()
+    exports.export_settlements(settled.filter(~early), folder)
+    decided = replace(sources, decisions=lake.read_all("silver", "block_decisions"))
+    return batch.run_batch(lake, decided, bank.KEY, bank.RUN_TS)
+
+
+@query
+def batch_facts_after_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches_around_stream(spark, sf_dir)["fct_transactions"]
+
+
+@query
+def batch_alerts_after_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches_around_stream(spark, sf_dir)["fct_daily_aml_alerts"]
+
+
 @query
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers, written to a new lake; rows and amounts per gold table."""
