@@ -109,11 +109,26 @@ def read_records(file: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
         yield headers, block
 
 
+#: Hadoop's names of stores that Arrow knows by another.
+STORES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def store_uri(path: str) -> str:
+    """A Hadoop path as the address by which Arrow opens it; a plain path is a local or mounted file.
+
+    Arrow takes keys and regions from the environment or the machine's role, not from Hadoop's settings.
+    """
+    scheme, mark, rest = path.partition("://")
+    if not mark:
+        return "file://" + path.removeprefix("file:")
+    return f"{STORES.get(scheme.lower(), scheme)}://{rest}"
+
+
 def _file(path: str):
     """File system and path of a shared file, for any store that Arrow opens."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(store_uri(path))
 
 
 def _write(folder: str):

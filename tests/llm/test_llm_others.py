@@ -366,3 +366,12 @@ def test_a_megabyte_of_broken_markup(page):
     start = time.perf_counter()
     html_extraction.page_blocks(page)
     assert time.perf_counter() - start < 5
+
+
+def test_archives_are_opened_by_the_names_of_arrow():
+    for path, uri in {
+        "s3a://bank/x/y.gz": "s3://bank/x/y.gz", "S3A://bank/x": "s3://bank/x", "s3://bank/x": "s3://bank/x", "gs://bank/x": "gs://bank/x",
+        "abfss://box@store.example/x": "abfss://box@store.example/x", "hdfs://name/x": "hdfs://name/x",
+        "file:/shared/x": "file:///shared/x", "file:///shared/x": "file:///shared/x", "/shared/x": "file:///shared/x",
+    }.items():
+        assert warc.store_uri(path) == uri
