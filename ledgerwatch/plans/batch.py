@@ -105,31 +105,10 @@ def _together(*steps: Callable[[], T]) -> list[T]:
         return [future.result() for future in [pool.submit(step) for step in steps]]
 
 
-def run_batch(
-    lake: Lake,
-    sources: Sources,
-    key: str,
-    run_ts: datetime,
-    rule: CrossBorderRule = CrossBorderRule(),
-    check: bool = True,
-    versions: int | None = None,
-    constrain: bool = False,
-) -> dict[str, DataFrame]:
-    """Run the whole pipeline into ``lake`` and return its gold tables.
-
-    ``versions`` is the number of newest bronze and silver versions that are kept once
-    the run is through, None for all. Gold tables and the history are never pruned.
-
-    With ``constrain``, customers and transactions pass the constraints of their source tables
-    first, as when inserted row by row by time; what these refuse goes to the layer
-    ``quarantine`` with the reason, and the run goes on with the others.
-
-    A check that fails raises and stops the run before the next layer. Running the
-    same ``run_ts`` again gives the same tables, and unchanged customers add no
-    versions.
-    """
-    if versions is not None and versions < 1:
-        raise ValueError("at least one version is kept")
+def load_and_stage(
+    lake: Lake, sources: Sources, key: str, run_ts: datetime, check: bool, constrain: bool
+) -> tuple[DataFrame, DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Load bronze and check the staged views: settlements, customers, transactions and the views."""
     live = sources.transactions
     if sources.decisions is not None:
         live = apply_block_decisions(live, sources.decisions)
@@ -156,16 +135,47 @@ def run_batch(
     views = staging_views(lake, key)
     register_views(views)
 
+    if check:
+        # Checked first: the joins of the marts rely on unique transaction ids.
+        _together(
+            lambda: run_checks(views["stg_transactions"], declared.STG_TRANSACTIONS, "stg_transactions"),
+            lambda: run_checks(views["stg_customers"], declared.STG_CUSTOMERS, "stg_customers"),
+        )
+    return settlements, customers, transactions, views
+
+
+def run_batch(
+    lake: Lake,
+    sources: Sources,
+    key: str,
+    run_ts: datetime,
+    rule: CrossBorderRule = CrossBorderRule(),
+    check: bool = True,
+    versions: int | None = None,
+    constrain: bool = False,
+) -> dict[str, DataFrame]:
+    """Run the whole pipeline into ``lake`` and return its gold tables.
+
+    ``versions`` is the number of newest bronze and silver versions that are kept once
+    the run is through, None for all. Gold tables and the history are never pruned.
+
+    With ``constrain``, customers and transactions pass the constraints of their source tables
+    first, as when inserted row by row by time; what these refuse goes to the layer
+    ``quarantine`` with the reason, and the run goes on with the others.
+
+    A check that fails raises and stops the run before the next layer. Running the
+    same ``run_ts`` again gives the same tables, and unchanged customers add no
+    versions.
+    """
+    if versions is not None and versions < 1:
+        raise ValueError("at least one version is kept")
+    settlements, customers, transactions, views = load_and_stage(lake, sources, key, run_ts, check, constrain)
+
     def checked(table: DataFrame, name: str, checks: list[Check]) -> DataFrame:
         if check:
             run_checks(table, checks, name)
         return table
 
-    # Checked first: the join below relies on unique transaction ids.
-    _together(
-        lambda: checked(views["stg_transactions"], "stg_transactions", declared.STG_TRANSACTIONS),
-        lambda: checked(views["stg_customers"], "stg_customers", declared.STG_CUSTOMERS),
-    )
     # Both marts read the reconciled rows, so they are joined once and written.
     reconciled = lake.write(
         reconcile_raw(transactions, settlements, key), "silver", RECONCILED, run_ts

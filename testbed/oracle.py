@@ -372,7 +372,16 @@ STATEMENTS = {
              CASE WHEN event_id % 19 = 0 THEN 'missing sender_iban' END,
              CASE WHEN event_id % 17 = 0 THEN 'unknown payment_channel' END,
              CASE WHEN event_id % 29 = 0 THEN 'unknown status' END,
-             CASE WHEN event_id % 23 = 0 THEN 'bad executed_at' END) END AS reason
+             CASE WHEN event_id % 23 = 0 THEN 'bad executed_at' END) END AS reason,
+           CASE WHEN {BROKEN} THEN '{{oops' ELSE '{{' || concat_ws(',',
+             '"transaction_id":"' || transaction_id || '"',
+             CASE WHEN event_id % 19 <> 0 THEN '"sender_iban":"' || sender_iban || '"' END,
+             '"beneficiary_iban":"' || beneficiary_iban || '"', '"amount":"' || amount || '"',
+             '"currency":"' || currency || '"',
+             '"payment_channel":"' || CASE WHEN event_id % 17 = 0 THEN 'CHEQUE' ELSE payment_channel END || '"',
+             CASE WHEN event_id % 29 = 0 THEN '"status":"LOST"' WHEN event_id % 3 <> 0 THEN '"status":"' || status || '"' END,
+             '"executed_at":"' || CASE WHEN event_id % 23 = 0 THEN 'not-a-time' ELSE CAST(executed_at AS VARCHAR) END || '"'
+           ) || '}}' END AS payload
     FROM ({live('ev')})""",
     "csv_export": "SELECT * EXCLUDE (n) FROM raw_customers",
     "settlement_export": f"""
@@ -533,4 +542,7 @@ STATEMENTS = {
     UNION ALL SELECT 'snap_customers', count(*), NULL FROM raw_customers""",
 }
 
+STATEMENTS["incremental_facts"] = STATEMENTS["batch_facts_after_stream"]
+STATEMENTS["incremental_alerts"] = f"SELECT * EXCLUDE (detected_at) FROM ({STATEMENTS['batch_alerts_after_stream']}) every_alert"
+
 ORACLES = {name: sql(statement) for name, statement in STATEMENTS.items()}
