@@ -97,8 +97,9 @@ def unpack(data: bytes) -> list[bytes]:
 
 def place(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of a hash, rising with it, and 32 further bits of its place in the bucket."""
-    x = (h >> U64(16)) * U64(buckets)
-    return (x >> U64(48)).astype(np.int64), ((x >> U64(16)) & U64(0xFFFFFFFF)).astype(np.uint32)
+    # The high 96 bits of hash times buckets, for up to 2**32 buckets.
+    x = (h >> U64(32)) * U64(buckets) + (((h & U64(0xFFFFFFFF)) * U64(buckets)) >> U64(32))
+    return (x >> U64(32)).astype(np.int64), (x & U64(0xFFFFFFFF)).astype(np.uint32)
 
 
 def slices(bucket: np.ndarray) -> list[tuple[int, int, int]]:
@@ -149,7 +150,7 @@ def counts(spark: SparkSession, docs: DataFrame, text: Column) -> tuple[int, int
     """Numbers of blocks and of buckets, from the bytes of text and the session's partitions."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(3 * parts, -(-size // BLOCK_BYTES)), min(max(parts, -(-size // BUCKET_BYTES)), 1 << 16)
+    return max(3 * parts, -(-size // BLOCK_BYTES)), max(parts, -(-size // BUCKET_BYTES))
 
 
 def _release() -> None:
