@@ -108,7 +108,7 @@ def _compare(cosine: float):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         _, here, first, second = (k.as_py() for k in key)
         chunk, weight = table["chunk"].to_numpy(), table["copies"].to_numpy()
-        names = table["key"].to_numpy()
+        names = np.array(table["key"].to_pylist(), object)
         x = np.array(table["v"].to_pylist(), np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         lists = [np.array(f, np.int64) for f in table["filters"].to_pylist()]
@@ -134,7 +134,7 @@ def _compare(cosine: float):
                         parent[max(p, q)] = min(p, q)
         pick = np.flatnonzero(linked)
         roots = [names[root(i)] for i in pick.tolist()]
-        return pa.table({"key": pa.array(names[pick], pa.int64()), "n": pa.array(linked[pick]), "to": pa.array(roots, pa.int64())})
+        return pa.table({"key": pa.array(names[pick], pa.string()), "n": pa.array(linked[pick]), "to": pa.array(roots, pa.string())})
 
     return run
 
@@ -159,9 +159,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = rows.where("digest is not null").groupBy("digest").agg(least, F.count(F.lit(1)).alias("copies"))
     # One row per class: its first row's id can be shared by classes only where ids repeat.
     one = rows.where("digest is not null").dropDuplicates(["digest"]).select(F.col("digest").alias("d"), "label", "v")
-    classes = classes.join(one, classes.digest == one.d).select(F.xxhash64("digest").alias("key"), "digest", "least", "copies", "label", "v")
+    classes = classes.join(one, classes.digest == one.d).select(F.substring("digest", 1, 32).alias("key"), "digest", "least", "copies", "label", "v")
     classes = stage(classes, "vector-classes")
-    filters = stage(classes.select("key", "v").mapInArrow(_filters, "key long, filters array<long>"), "vector-filters")
+    filters = stage(classes.select("key", "v").mapInArrow(_filters, "key string, filters array<long>"), "vector-filters")
     cells = filters.select("key", F.explode("filters").alias("filter")).join(classes.select("key", "label"), "key")
     sizes = cells.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     sizes = sizes.select(F.col("label").alias("l"), F.col("filter").alias("f"), F.ceil(F.col("held") / CHUNK).alias("chunks"))
@@ -170,7 +170,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     met = met.withColumn("other", F.explode(F.expr("sequence(0L, chunks - 1)")))
     met = met.select("key", "label", "filter", "chunk", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"))
     met = met.join(classes.select("key", "copies", "v"), "key").join(filters, "key")
-    found = met.groupBy("label", "filter", "first", "second").applyInArrow(_compare(cosine), "key long, n long, to long")
+    found = met.groupBy("label", "filter", "first", "second").applyInArrow(_compare(cosine), "key string, n long, to string")
     found = stage(found, "vector-links")
     roots = components(found.select(F.col("key").alias("a"), F.col("to").alias("b")))
     counts = found.groupBy("key").agg(F.sum("n").alias("n"))
