@@ -11,12 +11,20 @@ from ledgerwatch.workspace import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host's verdict keep."""
+    """Documents that the rules and their host's verdict keep.
+
+    Null and empty texts have no words and go. Rows are judged one by one, so repeated rows, also
+    with one id, stay or go alike; rows without source are a host of their own.
+    """
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id."""
+    """Of each group of near-duplicates, the document with the smallest id.
+
+    Rows that share this id all stay, and so do rows without id, since none of them can be
+    told to be the smallest. Texts without words are in no group.
+    """
     workers_import(spark)
     return ngram_join.first_of_each(docs)
 
@@ -36,7 +44,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, twice at most.
+
+    Reruns take the same rows. Rows without source are a source, the last one. Repeated rows
+    are drawn together, since nothing tells them apart.
+    """
     return mixing.mixed(docs)
 
 
@@ -60,6 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: a row of piece ids for each copy that the mix takes.
+
+    Every stage but the last is written and read again. Stages carry whatever further columns the
+    table has, whatever their names; a table without rows gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
