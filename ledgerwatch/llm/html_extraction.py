@@ -3,27 +3,34 @@
 A page is read into blocks, each with what its surroundings say of it. Menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments are told by element, role
 and name, and don't count. Names are whole words of a class or id, and don't count
-against an element around the article. Where a page marks its article, that is the text.
+against an element around the article. Where a page marks its article, only its blocks are looked at.
 
-Where it doesn't, the remaining blocks of a host's pages are compared. The token streams of
+Then the blocks of a host's pages are compared, marked or not. The token streams of
 a shard of pages are concatenated, and a suffix array over them, by doubling ranks,
-gives the runs of ``RUN`` tokens that several pages share; shards exchange their runs by
+gives the runs of ``RUN`` tokens that several pages share. A host is in one shard up to
+``HOST_BYTES`` of markup, or ``SHARES`` of a task; the shards of a larger one exchange their runs by
 hash, so a host may have any number of pages. A run is boilerplate if at least ``PAGES``
 different pages and ``SHARE`` of the host's different pages hold it. A block whose tokens
-are all covered by such runs is boilerplate; blocks with words of their own stay.
+are all covered by such runs is boilerplate; blocks with words of their own stay. The marks of
+an article speak for its blocks: these are boilerplate only if ``MARKED_PAGES`` and
+``MARKED_SHARE`` hold all of their runs, such as a notice that stands in every article.
 
 Near copies are one page: a page doesn't count if most of its runs are those of one page
 with a smaller digest. Runs that ``SHARE`` of the host's pages hold say nothing of that,
 unless less than ``OWN`` of the page's words are outside them. What isn't counted only
-makes fewer runs boilerplate.
+makes fewer runs boilerplate. Pages are compared by their prints: the runs with the least hash of
+``WINDOW`` neighbours, and all runs of a page with few. Shards exchange prints, and the runs that several of their pages
+hold; all runs, where a shard has less than ``FEW_PAGES`` of the host. So a count lacks at most one page of so many.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +46,12 @@ RUN = 8
 PAGES, SHARE = 3, 0.5
 #: Share of words outside the host's common runs, from which a page is told by its other runs.
 OWN = 0.2
+#: The same as ``PAGES`` and ``SHARE`` for blocks of a marked article.
+MARKED_PAGES, MARKED_SHARE = 8, 0.9
+#: Markup of a host that is compared in one task, at most, also as a multiple of a task's share of all markup.
+HOST_BYTES, SHARES = 12 << 20, 3
+#: Neighbouring runs of which one is a print at least (a power of two), runs of a page that are all prints, and pages of a shard that are few.
+WINDOW, FEW_RUNS, FEW_PAGES = 16, 64, 64
 
 # Element and role names of HTML, and words of class names and ids.
 SKIPPED = {"nav", "header", "footer", "aside", "form", "script", "style", "noscript", "template", "iframe", "button", "select", "textarea", "svg", "math", "object", "canvas", "audio", "video", "dialog", "menu", "head", "title"}
@@ -321,16 +334,20 @@ def page_blocks(page: str) -> tuple[list[str], bool]:
     return _main_blocks(blocks, regions)
 
 
+PARSED = "id long, url string, host string, digest string, marked boolean, blocks array<string>"
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, open_blocks = [], []
+        digests, marks, texts = [], [], []
         for page in batch.column("html").to_pylist():
             found, marked = page_blocks(page or "")
-            texts.append(" ".join(found) if marked else None)
-            open_blocks.append(None if marked else found)
+            digests.append(hashlib.md5("\n".join([str(marked), *found]).encode("utf-8", "surrogatepass")).hexdigest())
+            marks.append(marked)
+            texts.append(found)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(open_blocks, pa.list_(pa.string()))],
-            names=["id", "url", "text", "blocks"],
+            [batch.column("id"), batch.column("url"), batch.column("host"), pa.array(digests, pa.string()), pa.array(marks, pa.bool_()), pa.array(texts, pa.list_(pa.string()))],
+            names=["id", "url", "host", "digest", "marked", "blocks"],
         )
 
 
@@ -352,18 +369,33 @@ def suffix_ranks(tokens: np.ndarray, stops: np.ndarray, run: int) -> np.ndarray:
     return rank
 
 
-def _streams(table: pa.Table) -> tuple:
-    """Tokens of all pages with the host mixed in, their page and block, and where each stream ends."""
-    tokens, page, block, stops = [], [], [], []
-    total = 0
-    for i, (host, found) in enumerate(zip(table["host"].to_pylist(), table["blocks"].to_pylist())):
-        words = [(w, k) for k, b in enumerate(found) for w in b.split()]
-        tokens += [hash_token(host, w) for w, _ in words]
-        page += [i] * len(words)
-        block += [k for _, k in words]
-        total += len(words)
-        stops += [total] * len(words)
-    return np.array(tokens, np.uint64), np.array(page, np.int64), np.array(block, np.int64), np.array(stops, np.int64)
+class _Codes(dict):
+    """The tokens of one host's words."""
+
+    def __init__(self, host: str | None):
+        self.host = host
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = hash_token(self.host, word)
+        return code
+
+
+def _streams(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Tokens of all pages with the host mixed in, their page and block, where each stream ends, and the hash of the run from each on."""
+    tokens, blocks, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+    codes: dict[str | None, _Codes] = {}
+    for host, found in zip(table["host"].to_pylist(), table["blocks"].to_pylist()):
+        if host not in codes:
+            codes[host] = _Codes(host)
+        known = codes[host]
+        words = [b.split() for b in found]
+        counts = [len(w) for w in words]
+        tokens.append(np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, sum(counts)))
+        blocks.append(np.repeat(np.arange(len(found)), counts))
+        sizes.append(sum(counts))
+    page, stops = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.cumsum(sizes), sizes)
+    code = np.concatenate(tokens)
+    return code, page, np.concatenate(blocks), stops.astype(np.int64), _run_hashes(code)
 
 
 def hash_token(host: str | None, word: str) -> int:
@@ -380,27 +412,50 @@ def _run_hashes(tokens: np.ndarray) -> np.ndarray:
     return B.mix(code, 11)
 
 
-def _page_runs(pages: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct runs of each page, found by the suffix array, and the page of each.
+def _page_runs(pages: pa.Table, streams: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct runs of each page, found by the suffix array, the page of each, whether it is a print, and whether a second page of the shard has it.
 
     The host is one more run of each page with words, so that its pages are counted likewise.
     """
-    tokens, page, _, stops = _streams(pages)
+    tokens, page, _, stops, hashes = streams
     rank = suffix_ranks(tokens, stops, RUN)
-    pick = np.flatnonzero(rank >= 0)
-    pick = pick[np.lexsort((page[pick], rank[pick]))]
-    new = np.ones(len(pick), bool)
-    new[1:] = (np.diff(rank[pick]) > 0) | (np.diff(page[pick]) > 0)
-    pick, worded = pick[new], np.unique(page)
-    return np.concatenate([_run_hashes(tokens)[pick], _host_codes(pages)[worded]]), np.concatenate([page[pick], worded])
+    starts = rank >= 0
+    prints = starts & (_prints(np.where(starts, hashes, np.uint64(2**64 - 1))) | (np.bincount(page[starts], minlength=pages.num_rows) <= FEW_RUNS)[page])
+    # A run that occurs again in its page is the same run, so it is a print if any occurrence is.
+    key = np.where(starts, rank * max(pages.num_rows, 1) + page, -1)
+    order = np.argsort(key)
+    order = order[np.searchsorted(key[order], 0) :]
+    at = np.flatnonzero(np.r_[True, np.diff(key[order]) > 0][: len(order)])
+    pick, chosen = order[at], np.logical_or.reduceat(prints[order], at) if len(at) else np.zeros(0, bool)
+    shared = np.bincount(rank[pick])[rank[pick]] > 1
+    worded = np.unique(page)
+    every = np.ones(len(worded), bool)
+    return np.r_[hashes[pick], _host_codes(pages)[worded]], np.r_[page[pick], worded], np.r_[chosen, every], np.r_[shared, every]
+
+
+def _prints(hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are the least of a window of neighbours."""
+    out = np.zeros(len(hashes), bool)
+    if len(hashes) < WINDOW:
+        return ~out
+    least, span = hashes, 1
+    while span < WINDOW:
+        least, span = np.minimum(least[:-span], least[span:]), 2 * span
+    for k in range(WINDOW):
+        out[k : k + len(least)] |= hashes[k : k + len(least)] == least
+    return out
 
 
 def _host_codes(pages: pa.Table) -> np.ndarray:
     return np.array([hash_token(h, "") for h in pages["host"].to_pylist()], np.uint64)
 
 
+#: Bits of a page that tell its shard, so that copies in several shards count once.
+_SHARD = np.uint64((1 << 24) - 1)
+
+
 def _digests(pages: pa.Table) -> np.ndarray:
-    return np.array([hash_token("", d) for d in pages["digest"].to_pylist()], np.uint64)
+    return np.array([hash_token("", d) for d in pages["digest"].to_pylist()], np.uint64) & ~_SHARD
 
 
 def _totals(code: np.ndarray, count: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -414,13 +469,24 @@ def _totals(code: np.ndarray, count: np.ndarray, low: np.ndarray) -> tuple[np.nd
 def _ask(block: int, buckets: int, code: np.ndarray, count: np.ndarray, low: np.ndarray) -> pa.Table:
     if not len(code):
         return B.messages([])
-    parts = _totals(code, count, low)
-    return B.messages([(b, block, B.pack(*(x[i:j].tobytes() for x in parts))) for b, i, j in B.slices(B.place(parts[0], buckets)[0])])
+    code, count, low = _totals(code, count, low)
+    return B.messages([(b, block, _packed(code[i:j], count[i:j], low[i:j])) for b, i, j in B.slices(B.place(code, buckets)[0])])
+
+
+def _packed(code: np.ndarray, count: np.ndarray, low: np.ndarray) -> bytes:
+    """Codes, counts and pages; a page is written once and else named by its place, in byte planes."""
+    pages, at = np.unique(low, return_inverse=True)
+    return B.pack(code.tobytes(), B.planes(count), pages.tobytes(), B.planes(at.astype(np.uint32), 4))
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    code, count, pages, at = B.unpack(data)
+    return np.frombuffer(code, np.uint64), B.unplanes(count, 8, np.int64), np.frombuffer(pages, np.uint64)[B.unplanes(at, 4, np.uint32)]
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes in order, their counts and least pages."""
-    parts = [[np.frombuffer(x, t) for x, t in zip(B.unpack(d), (np.uint64, np.int64, np.uint64))] for d in answers["data"].to_pylist()]
+    parts = [_unpacked(d) for d in answers["data"].to_pylist()]
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     code, count, low = (np.concatenate(x) for x in zip(*parts))
@@ -433,18 +499,41 @@ def _shard(buckets: int):
 
     @B.frugal
     def run(key: tuple[pa.Scalar, ...], pages: pa.Table) -> pa.Table:
-        code, page = _page_runs(pages)
-        return _ask(key[0].as_py(), buckets, code, np.ones(len(code), np.int64), _digests(pages)[page])
+        pages = _distinct(pages)[0]
+        code, page, prints, shared = _page_runs(pages, _streams(pages))
+        hosts = _host_codes(pages)
+        few = _counts_of(hosts)[page] < FEW_PAGES
+        sent = prints | shared | few
+        code, page = code[sent], page[sent]
+        return _ask(key[0].as_py(), buckets, code, np.ones(len(code), np.int64), (_digests(pages) | _shard_bits(key))[page])
 
     return run
 
 
+def _counts_of(values: np.ndarray) -> np.ndarray:
+    """How often each value occurs, at its places."""
+    _, at, counts = np.unique(values, return_inverse=True, return_counts=True)
+    return counts[at]
+
+
+def _shard_bits(key: tuple[pa.Scalar, ...]) -> np.uint64:
+    return np.uint64(key[0].as_py()) & _SHARD
+
+
+def _distinct(table: pa.Table) -> tuple[pa.Table, list[int]]:
+    """A shard's different pages, and which of them each row has."""
+    first: dict[tuple[str, str], int] = {}
+    which = [first.setdefault(k, len(first)) for k in zip(table["host"].to_pylist(), table["digest"].to_pylist())]
+    places = np.unique(np.array(which, np.int64), return_index=True)[1]
+    return table.select(["host", "digest", "marked", "blocks"]).take(pa.array(places)), which
+
+
 def _shared(least: int):
     """Per bucket: the totals of runs that ``least`` pages hold, to each block that asked."""
 
     @B.frugal
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        parts = [[np.frombuffer(x, t) for x, t in zip(B.unpack(d), (np.uint64, np.int64, np.uint64))] for d in table["data"].to_pylist()]
+        parts = [_unpacked(d) for d in table["data"].to_pylist()]
         code, count, low = _totals(*(np.concatenate(x) for x in zip(*parts)))
         many = count >= least
         code, count, low = code[many], count[many], low[many]
@@ -453,7 +542,7 @@ def _shared(least: int):
             found, at = B.find(code, part[0])
             at = at[found]
             if len(at):
-                rows.append((key[0].as_py(), block, B.pack(code[at].tobytes(), count[at].tobytes(), low[at].tobytes())))
+                rows.append((key[0].as_py(), block, _packed(code[at], count[at], low[at])))
         return B.messages(rows)
 
     return run
@@ -474,18 +563,17 @@ def _look_up(told: tuple[np.ndarray, ...], code: np.ndarray, absent: int) -> np.
     return out
 
 
-def _different(pages: pa.Table, told: tuple[np.ndarray, ...]) -> np.ndarray:
+def _different(pages: pa.Table, streams: tuple, runs: tuple[np.ndarray, ...], told: tuple[np.ndarray, ...], shard: np.uint64) -> np.ndarray:
     """Which pages count: those that aren't near copies of a page with a smaller digest."""
-    tokens, page, _, stops = _streams(pages)
+    tokens, page, _, stops, hashes = streams
     needed = np.maximum(2, SHARE * _look_up(told, _host_codes(pages), 1))
     starts = np.arange(len(tokens)) + RUN <= stops
-    common = _covered(starts & (_look_up(told, _run_hashes(tokens), 1) >= needed[page]))
+    common = _covered(starts & (_look_up(told, hashes, 1) >= needed[page]))
     words, other = np.bincount(page, minlength=len(needed)), np.bincount(page[~common], minlength=len(needed))
     by_common = other < OWN * words
-    code, owner = _page_runs(pages)
-    runs = len(code) - np.count_nonzero(words)
-    code, owner = code[:runs], owner[:runs]
-    digests = _digests(pages)
+    n = len(runs[0]) - np.count_nonzero(words)
+    code, owner = runs[0][:n][runs[2][:n]], runs[1][:n][runs[2][:n]]
+    digests = _digests(pages) | shard
     pick = by_common[owner] == (_look_up(told, code, 1) >= needed[owner])
     code, owner = code[pick], owner[pick]
     found, at = B.find(told[0], code)
@@ -509,9 +597,10 @@ def _count_different(buckets: int):
 
     @B.frugal
     def run(key: tuple[pa.Scalar, ...], pages: pa.Table, answers: pa.Table) -> pa.Table:
-        told = _told(answers)
-        code, page = _page_runs(pages)
-        different = _different(pages, told).astype(np.int64)
+        pages = _distinct(pages)[0]
+        told, streams = _told(answers), _streams(pages)
+        code, page, *_ = runs = _page_runs(pages, streams)
+        different = _different(pages, streams, runs, told, _shard_bits(key)).astype(np.int64)
         shared = B.find(told[0], code)[0]
         code, page = code[shared], page[shared]
         return _ask(key[0].as_py(), buckets, code, different[page], np.zeros(len(code), np.uint64))
@@ -519,17 +608,51 @@ def _count_different(buckets: int):
     return run
 
 
-@B.frugal
-def _keep(key: tuple[pa.Scalar, ...], pages: pa.Table, answers: pa.Table) -> pa.Table:
-    tokens, page, block, stops = _streams(pages)
-    told = _told(answers)
-    needed = np.maximum(PAGES, SHARE * _look_up(told, _host_codes(pages), 0))
-    covered = _covered((np.arange(len(tokens)) + RUN <= stops) & (_look_up(told, _run_hashes(tokens), 0) >= needed[page]))
+def _kept(pages: pa.Table, streams: tuple, told: tuple[np.ndarray, ...]) -> list[str]:
+    """The text of each page without its blocks of boilerplate."""
+    tokens, page, block, stops, hashes = streams
+    marked = pages["marked"].to_numpy(zero_copy_only=False).astype(bool)
+    different = _look_up(told, _host_codes(pages), 0)
+    needed = np.where(marked, np.maximum(MARKED_PAGES, MARKED_SHARE * different), np.maximum(PAGES, SHARE * different))
+    covered = _covered((np.arange(len(tokens)) + RUN <= stops) & (_look_up(told, hashes, 0) >= needed[page]))
     own: dict[int, set[int]] = {}
-    for p, b in set(zip(page[~covered].tolist(), block[~covered].tolist())):
+    page, block = page[~covered], block[~covered]
+    last = np.flatnonzero(np.r_[(page[1:] != page[:-1]) | (block[1:] != block[:-1]), True][: len(page)])
+    for p, b in zip(page[last].tolist(), block[last].tolist()):
         own.setdefault(p, set()).add(b)
-    texts = [" ".join(t for k, t in enumerate(found) if k in own.get(i, ())) for i, found in enumerate(pages["blocks"].to_pylist())]
-    return pa.table({"host": pages["host"], "digest": pages["digest"], "text": pa.array(texts, pa.string())})
+    return [" ".join(t for k, t in enumerate(found) if k in own.get(i, ())) for i, found in enumerate(pages["blocks"].to_pylist())]
+
+
+TEXTS = "id long, url string, text string"
+
+
+def _texts(table: pa.Table, which: list[int], texts: list[str]) -> pa.Table:
+    return pa.table({"id": table["id"], "url": table["url"], "text": pa.array([texts[i] for i in which], pa.string())})
+
+
+@B.frugal
+def _keep(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
+    pages, which = _distinct(table)
+    return _texts(table, which, _kept(pages, _streams(pages), _told(answers)))
+
+
+def _at_least(least: int, code: np.ndarray, count: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+    if not len(code):
+        return code, count, low
+    code, count, low = _totals(code, count, low)
+    many = count >= least
+    return code[many], count[many], low[many]
+
+
+@B.frugal
+def _whole_hosts(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """All pages of some hosts: what :func:`_shard` to :func:`_keep` do, without an exchange."""
+    pages, which = _distinct(table)
+    streams = _streams(pages)
+    code, page, *_ = runs = _page_runs(pages, streams)
+    told = _at_least(2, code, np.ones(len(code), np.int64), _digests(pages)[page])
+    different = _different(pages, streams, runs, told, np.uint64(0)).astype(np.int64)
+    return _texts(table, which, _kept(pages, streams, _at_least(PAGES, code, different[page], np.zeros(len(code), np.uint64))))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -542,22 +665,23 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """
     spark = pages.sparkSession
     given = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].cast("string").alias("url"), pages[html_col].cast("string").alias("html"))
-    parsed = given.mapInArrow(_parse, "id long, url string, text string, blocks array<string>")
-    parsed = stage(parsed, "pages")
-    done = parsed.where("text is not null").select("id", "url", "text")
-    rest = parsed.where("text is null")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    joined = F.array_join("blocks", "\n")
-    rest = rest.select("id", "url", "blocks", host.alias("host"), F.md5(joined).alias("digest"))
-    # Copies are one row from here on, however many there are; the join gives each its text.
-    distinct, rows = stage_counted(rest.groupBy("host", "digest").agg(F.first("blocks").alias("blocks")), "distinct-pages")
-    if not rows:
+    given = given.withColumn("host", host)
+    n, buckets = B.counts(spark, given, F.col("html"))
+    # Such hosts are as many as fit the markup, so no hint: Spark broadcasts the list if it is small.
+    sizes = stage(given.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes")), "hosts")
+    share = (sizes.agg(F.sum("bytes")).first()[0] or 0) // n
+    large, n_large = stage_counted(sizes.where(F.col("bytes") > min(HOST_BYTES, SHARES * share)).select("host"), "large-hosts")
+    small = given.join(large, "host", "left_anti") if n_large else given
+    small = small.select("id", "url", "host", "html").mapInArrow(_parse, PARSED).withColumn("block", B.block_of(n, F.col("host")))
+    done = small.groupBy("block").applyInArrow(_whole_hosts, TEXTS)
+    if not n_large:
         return done
-    n, buckets = B.counts(spark, distinct, joined)
-    distinct = distinct.withColumn("block", B.block_of(n, F.col("host"), F.col("digest")))
-    asked = distinct.groupBy("block").applyInArrow(_shard(buckets), B.MESSAGE)
+    # Copies are dealt to all shards, however many there are. All three steps read the shards alike, so their shuffle is one.
+    rest = given.join(large, "host", "left_semi").select("id", "url", "host", "html").mapInArrow(_parse, PARSED)
+    rest = rest.withColumn("block", B.block_of(n, F.col("host"), F.col("id"), F.col("url")))
+    asked = rest.groupBy("block").applyInArrow(_shard(buckets), B.MESSAGE)
     held = asked.groupBy("bucket").applyInArrow(_shared(2), B.MESSAGE)
-    counted = distinct.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_count_different(buckets), B.MESSAGE)
+    counted = rest.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_count_different(buckets), B.MESSAGE)
     answers = counted.groupBy("bucket").applyInArrow(_shared(PAGES), B.MESSAGE)
-    kept = distinct.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_keep, "host string, digest string, text string")
-    return done.unionByName(rest.select("id", "url", "host", "digest").join(kept, ["host", "digest"]).select("id", "url", "text"))
+    return done.unionByName(rest.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_keep, TEXTS))

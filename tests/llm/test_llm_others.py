@@ -119,6 +119,30 @@ def test_names_and_regions(page, text):
     assert " ".join(html_extraction.page_blocks(page)[0]) == text
 
 
+@pytest.mark.parametrize("host_bytes", [html_extraction.HOST_BYTES, 0])
+def test_the_host_comparison_speaks_on_marked_pages(spark, monkeypatch, host_bytes):
+    """A notice in every article goes; paragraphs of near copies and quotes stay, in one shard and in many."""
+    monkeypatch.setattr(html_extraction, "HOST_BYTES", host_bytes)
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(n))
+    notice, quoted, article = words(14), words(20), [words(30) for _ in range(3)]
+    page = lambda *ps: f"<nav>menu</nav><article>{''.join(f'<p>{p}</p>' for p in ps)}<p>{notice}</p></article>"
+    texts = [[words(30), quoted] if i % 2 else [words(25), words(12)] for i in range(12)]
+    texts += [[*article[:2], f"{article[2]} changed{i}"] for i in range(30)]
+    rows = [(i, "http://paper.org/", page(*ps)) for i, ps in enumerate(texts)]
+    want = {i: " ".join(ps) for i, ps in enumerate(texts)}
+    # Seven different pages are too few to tell, and unmarked ones need three.
+    few = [words(20) for _ in range(7)]
+    rows += [(100 + i, "http://few.org/", page(t)) for i, t in enumerate(few)]
+    want |= {100 + i: f"{t} {notice}" for i, t in enumerate(few)}
+    rows += [(200 + i, "http://open.org/", f"<div>{notice}</div><p>{t}</p>") for i, t in enumerate(few)] + [(207, "http://open.org/", None)]
+    want |= {200 + i: t for i, t in enumerate(few)} | {207: ""}
+    rows.append(rows[0])
+    out = html_extraction.main_text(queries.workers_import(spark).createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == len(rows)
+    assert {r["id"]: r["text"] for r in out} == want
+
+
 def test_near_copies_and_quotes_on_unmarked_pages(spark):
     """Near copies keep their paragraphs, quoted paragraphs stay, and what all pages hold goes."""
     rng = np.random.default_rng(11)
