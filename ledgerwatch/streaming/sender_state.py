@@ -75,18 +75,21 @@ class SenderWindow(StatefulProcessor):
         self.state = handle.getListState("recent", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(rows, ignore_index=True).sort_values("arrival", kind="stable")
-        if self.bounded:
-            batch["late"] = batch["at_micros"] <= timerValues.getCurrentWatermarkInMs() * 1000
-        else:
-            batch["late"] = False
-        late, fresh = batch[batch["late"]], batch[~batch["late"]].copy()
-        fresh["event_count"] = self._counts(fresh["at_micros"].to_numpy(dtype=np.int64)) if len(fresh) else []
-        hits = fresh[fresh["event_count"] >= self.limit]
-        yield pd.concat([hits, late.assign(event_count=0)])[OUTPUT.fieldNames()].astype({"event_count": "int64", "late": "bool"})
+        parts = list(rows)
+        batch = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        order = np.argsort(batch["arrival"].to_numpy(), kind="stable")
+        times = batch["at_micros"].to_numpy(dtype=np.int64)[order]
+        late = times <= timerValues.getCurrentWatermarkInMs() * 1000 if self.bounded else np.zeros(len(times), bool)
+        counts = np.zeros(len(times), np.int64)
+        if not late.all():
+            counts[~late] = self._counts(times[~late])
+        # Most senders have nothing to tell, and an empty frame for each would cost more than the rule.
+        told = np.r_[np.flatnonzero(~late & (counts >= self.limit)), np.flatnonzero(late)]
+        if len(told):
+            yield batch.iloc[order[told]].assign(event_count=counts[told], late=late[told])[OUTPUT.fieldNames()]
 
     def _counts(self, times: np.ndarray) -> list[int]:
-        stored = np.array([entry[0] for entry in self.state.get()], dtype=np.int64) if self.state.exists() else np.zeros(0, np.int64)
+        stored = np.array([entry[0] for entry in self.state.get()], dtype=np.int64)
         recent = stored[still_counting(stored, self.span)].tolist() if len(stored) else []
         heapq.heapify(recent)
         counts = counts_in_arrival_order(recent, times.tolist(), self.span)
@@ -96,17 +99,20 @@ class SenderWindow(StatefulProcessor):
             self.state.put([(int(t),) for t in kept])
         else:
             self.state.appendList([(int(t),) for t in times])
-        if self.bounded:
-            self._restart_timer(int(every.max()))
+        if self.bounded and not len(stored):
+            self._start_timer(int(times.max()))
         return counts
 
-    def _restart_timer(self, newest: int) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
+    def _start_timer(self, newest: int) -> None:
         self.handle.registerTimer((newest + self.span) // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
+        """A sender with a state has one timer; if transfers have come since it was set, it is set again."""
+        newest = max((entry[0] for entry in self.state.get()), default=None)
+        if newest is not None and (newest + self.span) // 1000 + 1 > expiredTimerInfo.getExpiryTimeInMs():
+            self._start_timer(newest)
+        else:
+            self.state.clear()
         return iter(())
 
     def close(self) -> None:

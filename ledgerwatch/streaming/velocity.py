@@ -43,21 +43,26 @@ BROADCAST_ROWS = 2_000_000
 #: Senders that a micro-batch must have events of before their times count as the time it is.
 SENDERS_TELL_TIME = 3
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: A micro-batch then writes its changes to the checkpoint, not the state's files.
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
 def rocksdb_state(spark: SparkSession) -> Iterator[None]:
     """Queries that start inside keep their state in RocksDB; the session's setting is put back after it."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    settings = {PROVIDER: ROCKSDB, CHANGELOG: "true"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def start_lookup(

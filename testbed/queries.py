@@ -416,22 +416,28 @@ def velocity_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 class LandedFeed:
     """A feed whose slices are put into a folder one after the other, each as the same number of files."""
 
-    FILES = 3
+    FILES, FILE_ROWS = 3, 100_000
 
     def __init__(self, feed: DataFrame):
         self.spark = feed.sparkSession
-        self.rows = stage(feed, "feed")
         self.folder, self.checkpoint = new_folder(self.spark, "landed"), new_folder(self.spark, "checkpoint")
-        self.schema = self.rows.drop("slice").schema
+        self.schema = feed.drop("slice").schema
+        # By slice, so that landing one reads no other.
+        path = new_folder(self.spark, "feed")
+        feed.write.partitionBy("slice").parquet(path)
+        self.rows = self.spark.read.schema(feed.schema).parquet(path)
+        sizes = [row["count"] for row in self.rows.groupBy("slice").count().toLocalIterator()]
+        # Files grow in number with the feed, but each must get rows of the smallest slice.
+        self.files = max(self.FILES, min(-(-sum(sizes) // (bank.SLICES * self.FILE_ROWS)), min(sizes, default=0) // 1000))
 
     def land(self, *slices: int) -> None:
         for number in slices:
             rows = self.rows.filter(F.col("slice") == number).drop("slice")
-            rows.repartition(self.FILES).write.mode("append").parquet(self.folder)
+            rows.repartition(self.files).write.mode("append").parquet(self.folder)
 
     def stream(self) -> DataFrame:
         """One slice in each micro-batch."""
-        return events.file_events(self.spark, self.folder, self.schema, files_per_trigger=self.FILES)
+        return events.file_events(self.spark, self.folder, self.schema, files_per_trigger=self.files)
 
     def drain(self, writer) -> StreamingQuery:
         """Run until all that has landed is done, from where the last run stopped."""

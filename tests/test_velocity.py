@@ -6,6 +6,7 @@ import time
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -20,7 +21,8 @@ from ledgerwatch.sources.events import file_events
 from ledgerwatch.sources.lake import Lake
 from ledgerwatch.streaming import velocity as live
 from ledgerwatch.streaming.counters import RunCounters, counted, counted_where
-from ledgerwatch.streaming.sender_state import counts_in_arrival_order, still_counting
+from ledgerwatch.streaming.sender_state import OUTPUT, SenderWindow, counts_in_arrival_order, still_counting
+from testbed.queries import LandedFeed
 
 T0 = datetime(2024, 1, 1, 12)
 TEXT = T.StructType([T.StructField("value", T.StringType())])
@@ -388,3 +390,65 @@ def test_idle_senders_leave_the_tail(spark, tmp_path):
     drain(live.start_velocity_job(feed, owners, lake), f"{tmp_path}/checkpoint")
     tail = lake.read("silver", "block_decisions_tail")
     assert {r.sender_iban for r in tail.collect()} == {"a", "b", "c"}
+
+
+def test_a_sender_with_nothing_to_tell_costs_no_frame_and_one_timer():
+    """Frames and timers are written only where they say something; a timer that comes early is set again."""
+
+    class Entries:
+        def __init__(self):
+            self.rows = []
+
+        def exists(self):
+            return bool(self.rows)
+
+        def get(self):
+            return iter(self.rows)
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendList(self, rows):
+            self.rows += rows
+
+        def clear(self):
+            self.rows = []
+
+    class Handle:
+        timers: list[int] = []
+        listTimers = lambda self: iter(list(self.timers))
+        getListState = lambda self, name, schema: Entries()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    class Now:
+        getCurrentWatermarkInMs = getExpiryTimeInMs = lambda self: 0
+
+    minute = 60_000_000
+    window, handle = SenderWindow(3, 60 * minute, bounded=True), Handle()
+    window.init(handle)
+    rows = lambda *at: iter([pd.DataFrame({"transaction_id": [f"t{m}" for m in at], "sender_iban": "a", "risk_tier": "LOW", "at_micros": [m * minute for m in at], "arrival": at})])
+    assert list(window.handleInputRows(("a",), rows(5), Now())) == []
+    assert list(window.handleInputRows(("a",), rows(20), Now())) == []
+    assert handle.timers == [65 * 60_000 + 1]
+    (out,) = window.handleInputRows(("a",), rows(31, 30), Now())
+    assert list(out.columns) == OUTPUT.fieldNames()
+    assert out[["transaction_id", "event_count", "late"]].values.tolist() == [["t30", 3, False], ["t31", 4, False]]
+    early = type("Expired", (), {"getExpiryTimeInMs": lambda self: handle.timers[0]})()
+    handle.timers = [65 * 60_000 + 1]
+    assert list(window.handleExpiredTimer(("a",), Now(), early)) == []
+    assert handle.timers[-1] == 91 * 60_000 + 1 and len(window.state.rows) == 4
+    last = type("Expired", (), {"getExpiryTimeInMs": lambda self: 91 * 60_000 + 1})()
+    assert list(window.handleExpiredTimer(("a",), Now(), last)) == [] and not window.state.rows
+
+
+def test_landed_files_grow_with_the_feed(spark, monkeypatch):
+    monkeypatch.setattr(LandedFeed, "FILE_ROWS", 1000, raising=False)
+    feed = LandedFeed(spark.range(60_000).selectExpr("id arrival", "cast(id % 6 as int) slice"))
+    feed.land(*range(6))
+    landed = spark.read.parquet(feed.folder)
+    assert landed.count() == 60_000 and len(landed.inputFiles()) == 6 * 10
