@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import timestamp_ntz
+from ledgerwatch.functions.columns import packed_hashes, timestamp_ntz, unpacked_hashes
 from ledgerwatch.operators.sliding import HOT_ROWS, sliding_totals
 from ledgerwatch.schemas import ROLLING_AMOUNT, CrossBorderRule
 from ledgerwatch.workspace import stage_counted
@@ -49,7 +49,7 @@ def with_customer(payments: DataFrame, stg_customers: DataFrame) -> DataFrame:
     owner = stg_customers.select(
         F.col("iban_hmac").alias("sender_iban_hmac"), "customer_id", "risk_tier"
     )
-    return payments.join(owner, "sender_iban_hmac", "left")
+    return unpacked_hashes(packed_hashes(payments).join(packed_hashes(owner), "sender_iban_hmac", "left"))
 
 
 def fct_transactions(reconciled: DataFrame, stg_customers: DataFrame) -> DataFrame:
@@ -57,14 +57,14 @@ def fct_transactions(reconciled: DataFrame, stg_customers: DataFrame) -> DataFra
     return with_customer(reconciled, stg_customers).select(*FACT_COLUMNS)
 
 
-def alert_candidates(reconciled: DataFrame) -> DataFrame:
+def alert_candidates(reconciled: DataFrame, columns: tuple[str, ...] = ALERT_GRAIN) -> DataFrame:
     """Cross-border payments that were not blocked, with a known sender and time."""
     return reconciled.filter(
         F.col("is_cross_border")
         & (F.col("final_status") != "BLOCKED")
         & F.col("sender_iban_hmac").isNotNull()
         & F.col("executed_at").isNotNull()
-    ).select(*ALERT_GRAIN)
+    ).select(*columns)
 
 
 def rolling_cross_border(

@@ -23,6 +23,7 @@ from hashlib import sha256
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.functions.columns import packed_hashes, unpacked_hashes
 from ledgerwatch.operators.marts import alert_candidates, aml_alerts, fct_transactions
 from ledgerwatch.operators.quality import run_checks
 from ledgerwatch.operators.reconcile import reconcile_raw
@@ -78,7 +79,8 @@ def differing(old: DataFrame, new: DataFrame, columns: list[str], keep: list[str
 
 def _only(rows: DataFrame, column: str, keys: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows whose column is (or with ``left_anti``: is not) among the keys, NULL included."""
-    return rows.join(keys, rows[column].eqNullSafe(keys[keys.columns[0]]), how)
+    rows, keys = packed_hashes(rows), packed_hashes(keys)
+    return unpacked_hashes(rows.join(keys, rows[column].eqNullSafe(keys[keys.columns[0]]), how))
 
 
 def _months_before(months: set[str], days: int) -> set[str]:
@@ -143,14 +145,18 @@ def run_incremental(
         past = {name: lake.spark.read.parquet(f"{lake.folder('bronze', name)}/run={before[MADE_FROM][name]}") for name in BRONZE}
         ids, senders, n_senders = _changes(past, transactions, settlements, customers, key)
         fresh = stage(reconcile_raw(_only(transactions, "transaction_id", ids), _only(settlements, "transaction_id", ids), key), "reconciled")
-        gone = stage(_only(reconciled(), "transaction_id", ids), "reconciled")
-        changed = gone.unionByName(fresh)
+        # Of the rows that go only what tells the months and senders that they act on.
+        acting_in = ["transaction_id", "sender_iban_hmac", "executed_at", "is_cross_border", "final_status"]
+        acts = F.col("is_cross_border") & (F.col("final_status") != "BLOCKED")
+        before_now = reconciled().withColumn("sender_iban_hmac", F.when(acts, F.col("sender_iban_hmac"))).select(*acting_in)
+        gone = stage(_only(before_now, "transaction_id", ids), "reconciled")
+        changed = gone.unionByName(fresh.select(*acting_in))
         months = M.months_in(changed)
         rewrite(RECONCILED, _only(reconciled(months), "transaction_id", ids, "left_anti").unionByName(fresh), months)
         owned = M.months_in(_only(reconciled(), "sender_iban_hmac", senders)) if n_senders else set()
         fact_months = months | owned
         rewrite(FACTS, fct_transactions(reconciled(fact_months), owners), fact_months)
-        acting = alert_candidates(changed).select("sender_iban_hmac", "executed_at")
+        acting = alert_candidates(changed, ("sender_iban_hmac", "executed_at"))
         alert_months = _months_acted_on(acting, rule.days) | owned
         touched = stage(acting.select("sender_iban_hmac").unionByName(senders).distinct(), "senders")
         wanted = M.month_of("executed_at").isin(sorted(alert_months))

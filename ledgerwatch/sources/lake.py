@@ -16,7 +16,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerwatch.workspace import delete_folder
+from ledgerwatch.workspace import CODEC, delete_folder
 
 DEFAULT_LAYER = "default"
 
@@ -85,7 +85,7 @@ class Lake:
                     some = same[:fan]
                     name = f"range={tier + 1}_{some[0][0]}_{some[-1][1]}"
                     rows = self.spark.read.parquet(*(p[3] for p in some))
-                    rows.write.mode("overwrite").parquet(f"{self.folder(layer, table)}/{name}")
+                    rows.write.mode("overwrite").option("compression", CODEC).parquet(f"{self.folder(layer, table)}/{name}")
                     merged = True
                     break
         self._delete_covered(layer, table)
@@ -101,7 +101,7 @@ class Lake:
     def write(self, df: DataFrame, layer: str | None, table: str, run: datetime | int) -> DataFrame:
         """Write this run's version and return it as read back."""
         path = f"{self.folder(layer, table)}/run={run_id(run)}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read(

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerwatch.functions.columns import packed_hashes, unpacked_hashes
 from ledgerwatch.sources.lake import Lake, matching_paths, run_id
-from ledgerwatch.workspace import delete_folder
+from ledgerwatch.workspace import CODEC, delete_folder
 
 #: ``state[table][month]`` is the run that holds the month.
 State = dict[str, dict[str, str]]
@@ -56,8 +57,8 @@ def write_months(lake: Lake, rows: DataFrame, table: str, run: datetime, at: str
     The rebalancing gives a month as many files as its size asks for, and small months one.
     """
     folder = f"{lake.folder(LAYER, table)}/run={run_id(run)}"
-    dated = rows.withColumn("month", month_of(at)).hint("rebalance", "month")
-    dated.write.mode("overwrite").partitionBy("month").parquet(folder)
+    dated = unpacked_hashes(packed_hashes(rows).withColumn("month", month_of(at)).hint("rebalance", "month"))
+    dated.write.mode("overwrite").option("compression", CODEC).partitionBy("month").parquet(folder)
     return {path.rsplit("=", 1)[1]: run_id(run) for path in matching_paths(lake.spark, f"{folder}/month=*")}
 
 
