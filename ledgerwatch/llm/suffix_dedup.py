@@ -32,6 +32,9 @@ from ledgerwatch.llm import blocks as B
 
 #: Bytes of an anchor.
 ANCHOR = 24
+#: Text whose anchors one bucket answers, and the least text of a block or bucket, in bytes. A block has
+#: a message for each bucket, so that small ones are many and nearly empty.
+BUCKET_BYTES, LEAST_BYTES = 12 << 20, 256 << 10
 #: Distinct contexts of an anchor beyond which its windows travel singly.
 CROWD = 1024
 #: Shards of a merge, and symbols that are merged at a time (whole anchors only).
@@ -86,8 +89,13 @@ def window_code(windows: np.ndarray) -> np.ndarray:
     return B.mix(whole, 1) ^ B.mix(np.zeros(len(windows), np.uint64), 2)
 
 
+def _route(gram: np.ndarray) -> np.ndarray:
+    """A hash of the anchor's hash: that one is the least of its window, so that anchors crowd at the low end."""
+    return B.mix(gram, 4)
+
+
 def _key(gram: np.ndarray, buckets: int) -> np.ndarray:
-    bucket, rest = B.place(gram, buckets)
+    bucket, rest = B.place(_route(gram), buckets)
     return (bucket.astype(np.uint64) << np.uint64(32)) | rest.astype(np.uint64)
 
 
@@ -197,7 +205,7 @@ def _contexts_to_merge(length: int, buckets: int):
         kind = np.where(hit, kinds[at], 0)
         doc = ids[c["row"]]
         pick = np.flatnonzero(kind == MANY)
-        found = [(c["gram"][pick], c["gram"][pick], c["code"][pick], c["begin"][pick], c["end"][pick] - c["begin"][pick] + length, c["anchor"][pick] - c["begin"][pick], doc[pick])]
+        found = [(_route(c["gram"][pick]), c["gram"][pick], c["code"][pick], c["begin"][pick], c["end"][pick] - c["begin"][pick] + length, c["anchor"][pick] - c["begin"][pick], doc[pick])]
         for which, start, _, code in _crowded_windows(data, c, np.flatnonzero(kind == CROWDED), length):
             found.append((B.mix(code, 3), c["gram"][which], code, start, np.full(len(start), length), c["anchor"][which] - start, doc[which]))
         route, gram, code, start, size, place, doc = (np.concatenate(x) for x in zip(*found))
@@ -431,7 +439,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     text: Column = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    n, buckets = B.counts(spark, docs, text)
+    n, buckets = B.counts(spark, docs, text, BUCKET_BYTES, LEAST_BYTES)
     blocks = docs.select(
         B.block_of(n, docs[id_col], text).alias("block"),
         docs[id_col].cast("long").alias("id"),

@@ -7,10 +7,12 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import mixing, ngram_join, quality_rules, queries, sentencepiece_codec, suffix_dedup
+from ledgerwatch.llm import blocks, mixing, ngram_join, quality_rules, queries, sentencepiece_codec, suffix_dedup
 
 SMALL = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,6 +91,48 @@ def test_merge_agrees_whatever_the_crowd(awkward, monkeypatch):
     assert rows() == usual
 
 
+def test_suffix_dedup_spreads_anchors_over_buckets():
+    # An anchor has the least hash of its window: dealt by that hash, the first bucket gets 13 times its share.
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(2_000)]
+    base = [rng.choice(words) for _ in range(20_000)]
+    copies = [[rng.choice(words) if rng.random() < 0.05 else w for w in base] for _ in range(3)]
+    docs = pa.table({"id": pa.array(range(4), pa.int64()), "text": [" ".join(c) for c in (base, *copies)]})
+    key, buckets = (pa.scalar(0),), 32
+    asked = suffix_dedup._sketch(50, buckets)(key, docs)
+
+    def even(sent):
+        loads = [len(d) for d in sent["data"].to_pylist()]
+        return sorted(sent["bucket"].to_pylist()) == list(range(buckets)) and max(loads) < 1.5 * sum(loads) / buckets
+
+    assert even(asked)
+    told = pa.concat_tables([suffix_dedup._resolve((pa.scalar(b),), asked.filter(pc.equal(asked["bucket"], b))) for b in range(buckets)])
+    assert even(told) and even(suffix_dedup._contexts_to_merge(50, buckets)(key, docs, told))
+
+
+def test_small_tables_have_few_messages(spark, awkward):
+    # With 211 partitions there were 633 blocks of next to nothing, with a message for each of 211 buckets.
+    text = F.coalesce("text", F.lit(""))
+    size = awkward.agg(F.sum(F.octet_length(text))).first()[0]
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        n, buckets = blocks.counts(spark, awkward, text, suffix_dedup.BUCKET_BYTES, suffix_dedup.LEAST_BYTES)
+        assert 1 <= n == buckets <= size // suffix_dedup.LEAST_BYTES + 1
+        assert blocks.counts(spark, awkward, text) == (633, 211)
+        assert blocks.counts(spark, awkward.limit(0), text, suffix_dedup.BUCKET_BYTES, suffix_dedup.LEAST_BYTES) == (1, 1)
+        assert blocks.counts(spark, awkward, text, 1000, 1 << 30) == (1, -(-size // 1000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_suffix_dedup_in_many_blocks(awkward, monkeypatch):
+    rows = lambda: Counter((r["row"]["doc_id"], tuple(map(tuple, r["spans"])), bytes(r["kept"])) for r in suffix_dedup.remove_repeats(awkward).collect())
+    few = rows()
+    monkeypatch.setattr(suffix_dedup, "LEAST_BYTES", 1)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 1 << 14)
+    assert rows() == few
+
+
 def test_ngram_join(docs):
     rows = pairs(docs)
     sets = [shingles(t) for _, t in rows]
