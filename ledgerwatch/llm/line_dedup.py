@@ -151,7 +151,8 @@ def without_repeated_lines(
     others = [docs[c] for c in docs.columns if c != text_col]
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     given = docs.select(F.struct(F.lit(0).alias("_"), *others).alias("row"), _document(docs[id_col]).alias("own"), text.alias("text"))
-    both = given.withColumn("own_twin", F.xxhash64("text")).join(found, F.expr("own = doc and own_twin = twin"), "left")
+    # Never a broadcast: Spark would choose it by the size of the files, and places that many documents share take next to nothing there.
+    both = given.withColumn("own_twin", F.xxhash64("text")).join(found.hint("merge"), F.expr("own = doc and own_twin = twin"), "left")
     parts = F.split("text", "\n", -1)
     # What is kept lies between the dropped places.
     kept = F.expr(

@@ -62,6 +62,16 @@ def test_random_texts_with_a_hot_line(spark):
     assert not [word for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop") if word in plan]
 
 
+def test_places_are_not_broadcast_by_the_size_of_their_files(spark):
+    # All documents but one lose the same 500 places, which compress well: the files tell little of what a broadcast would hold.
+    text = "\n".join(f"{LONG}, number {k}" for k in range(500))
+    rows = [(i, text) for i in range(40)]
+    result = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(result) == expected(rows)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_runs_are_compacted_and_any_order_gives_the_same(spark):
     draw = random.Random(6)
     holds = [(f"{draw.randrange(40):02}".encode(), i) for i in range(90) for _ in range(3)]
