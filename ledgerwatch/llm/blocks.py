@@ -146,7 +146,7 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sorted_keys[at] == keys, at
 
 
-def counts(spark: SparkSession, docs: DataFrame, text: Column, bucket_bytes: int = BUCKET_BYTES, least: int = 1) -> tuple[int, int]:
+def counts(spark: SparkSession, docs: DataFrame, text: Column, bucket_bytes: int = BUCKET_BYTES, least: int = 1, block_bytes: int = BLOCK_BYTES) -> tuple[int, int]:
     """Numbers of blocks and of buckets, from the bytes of text and the session's partitions.
 
     However many partitions there are, none of both gets less than ``least`` bytes of text.
@@ -154,7 +154,7 @@ def counts(spark: SparkSession, docs: DataFrame, text: Column, bucket_bytes: int
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = -(-max(size, 1) // least) if least > 1 else 3 * parts
-    return max(min(3 * parts, most), -(-size // BLOCK_BYTES)), max(min(parts, most), -(-size // bucket_bytes))
+    return max(min(3 * parts, most), -(-size // block_bytes)), max(min(parts, most), -(-size // bucket_bytes))
 
 
 def _release() -> None:

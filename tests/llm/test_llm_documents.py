@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -110,6 +111,66 @@ def test_suffix_dedup_spreads_anchors_over_buckets():
     assert even(told) and even(suffix_dedup._contexts_to_merge(50, buckets)(key, docs, told))
 
 
+def test_suffix_dedup_sends_only_what_may_repeat():
+    # A phrase shorter than a window is in every document: its contexts hold one anchor, but no window twice.
+    rng = random.Random(3)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    texts = [noise(60) + "with the words of this phrase " + noise(60) for _ in range(200)]
+    passage = noise(90)
+    texts += [noise(40) + passage + noise(40) for _ in range(5)]
+    docs, key = pa.table({"id": pa.array(range(205), pa.int64()), "text": texts}), (pa.scalar(0),)
+    told = suffix_dedup._resolve(key, suffix_dedup._sketch(50, 1)(key, docs))
+    sent = suffix_dedup._contexts_to_merge(50, 1)(key, docs, told)
+    # All of them went to the merge before, with some 60 bytes for each document.
+    assert 5 * 60 < sum(len(d) for d in sent["data"].to_pylist()) < 205 * 60 / 3
+    gone = suffix_dedup._spans(*blocks.utf8(docs["text"]), blocks.ids(docs["id"]), pa.concat_tables([told, suffix_dedup._merge(50)(key, sent)]), 50, 1)
+    assert gone.tolist() == [d > 200 and 40 <= at < 130 for d, t in enumerate(texts) for at in range(len(t))]
+
+
+@pytest.mark.parametrize("length", [20, 24, 25, 31, 50])
+def test_least_documents_of_stretches(length, monkeypatch):
+    rng = random.Random(length)
+    beside = max(length - 24, 0)
+    rows = set()
+    for _ in range(400):
+        anchor = rng.choice(["the anchor of these bytes", "another anchor of others "])[: min(24, length)]
+        left, right = ("".join(rng.choice("ab") * 5 for _ in range(5))[:beside] for _ in range(2))
+        start = rng.randint(0, len(left))
+        last = rng.randint(max(0, beside - len(left) + start), len(right)) if len(right) >= beside - len(left) + start else 0
+        if len(text := left[start:] + anchor + right[:last]) >= length:
+            rows.add((text, len(left) - start))
+    rows = [(t, p, rng.randint(0, 99)) for t, p in sorted(rows)]
+    first: dict[tuple[str, str], int] = {}
+    windows = [(t[p : p + 24], t[i : i + length], d) for t, p, d in rows for i in range(len(t) - length + 1)]
+    for a, w, d in windows:
+        first[a, w] = min(first.get((a, w), d), d)
+    merged = []
+    merge = suffix_dedup.smallest_documents
+    monkeypatch.setattr(suffix_dedup, "smallest_documents", lambda *a: merged.append(a) or merge(*a))
+    text, size, place, doc = (np.array(x) for x in (list("".join(t for t, _, _ in rows).encode()), [len(t) for t, _, _ in rows], [p for _, p, _ in rows], [d for _, _, d in rows]))
+    assert suffix_dedup.least_documents(text.astype(np.uint8), size, place, doc, length).tolist() == [first[a, w] for a, w, _ in windows]
+    # Strings that share no anchor with another one are not merged, and a longer anchor takes fewer rounds.
+    assert length < 50 or merged and max(length - a[-1] + 1 for a in merged) <= 7
+
+
+def test_suffix_dedup_by_other_lengths(awkward):
+    for length in (20, 31):
+        first: dict[bytes, int] = {}
+        rows = [((t or "").encode(), 2**63 - 1 if i is None else i) for i, t in ((r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect())]
+        for b, k in rows:
+            for at in range(len(b) - length + 1):
+                first[b[at : at + length]] = min(first.get(b[at : at + length], k), k)
+        want = Counter()
+        for b, k in rows:
+            gone = bytearray(len(b))
+            for at in range(len(b) - length + 1):
+                if first[b[at : at + length]] < k:
+                    gone[at : at + length] = b"\1" * length
+            want[k, bytes(x for x, g in zip(b, gone) if not g)] += 1
+        out = suffix_dedup.remove_repeats(awkward, length=length).collect()
+        assert Counter((2**63 - 1 if r["row"]["doc_id"] is None else r["row"]["doc_id"], bytes(r["kept"])) for r in out) == want
+
+
 def test_small_tables_have_few_messages(spark, awkward):
     # With 211 partitions there were 633 blocks of next to nothing, with a message for each of 211 buckets.
     text = F.coalesce("text", F.lit(""))
