@@ -153,6 +153,14 @@ def test_least_documents_of_stretches(length, monkeypatch):
     assert length < 50 or merged and max(length - a[-1] + 1 for a in merged) <= 7
 
 
+def test_contexts_do_not_depend_on_their_place_in_a_block():
+    # They were cut at every 256 KB of the block, so that another order of rows gave other strings.
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (150_000, 40, 600_000, 200_000, 0)]
+    every = lambda rows: Counter(suffix_dedup.contexts(*blocks.utf8(pa.chunked_array([pa.array(rows)])), 50)["code"].tolist())
+    assert every(texts) == every(texts[::-1]) == sum((every([t]) for t in texts), Counter())
+
+
 def test_suffix_dedup_by_other_lengths(awkward):
     for length in (20, 31):
         first: dict[bytes, int] = {}
